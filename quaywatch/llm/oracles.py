@@ -30,3 +30,39 @@ runs AS (SELECT *, unit - row_number() OVER (PARTITION BY doc_id ORDER BY unit)
 SELECT doc_id, min(a)::BIGINT AS "start", max(b)::BIGINT AS "end", count(*) AS n_units, sum(len(string_split(u, ' ')))::BIGINT AS n_words, arg_min(kept, unit) AS kept_doc_id
 FROM runs GROUP BY doc_id, run HAVING sum(len(string_split(u, ' '))) >= 50
 """
+
+NEAR_VECTORS = """
+WITH RECURSIVE v AS (
+    SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+    WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+pairs AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+    WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+reach AS (SELECT vec_id AS x, vec_id AS y FROM embeddings UNION SELECT r.x, p.b FROM reach r JOIN pairs p ON r.y = p.a),
+least AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x),
+degree AS (SELECT a, count(*) AS n FROM pairs GROUP BY a)
+SELECT l.x AS vec_id, coalesce(d.n, 0)::BIGINT AS n_links, l.component_id, l.x = l.component_id AS kept
+FROM least l LEFT JOIN degree d ON d.a = l.x
+"""
+
+NGRAM_JOIN = f"""
+WITH RECURSIVE {_sets("docs", "documents", "doc_id")},
+keyed AS (SELECT doc_id, len(s) AS n, s, list_sort(s) AS k FROM docs),
+classes AS (SELECT min(doc_id) AS id, k, any_value(s) AS s, any_value(n) AS n, count(*) AS size FROM keyed WHERE n > 0 GROUP BY k),
+t AS (SELECT id, n, size, unnest(s) AS t FROM classes),
+pairs AS (SELECT a.id AS a, b.id AS b, any_value(b.size) AS size FROM t a JOIN t b ON a.t = b.t AND a.id <> b.id
+    GROUP BY a.id, b.id HAVING 100 * count(*) >= 80 * (any_value(a.n) + any_value(b.n) - count(*))),
+reach AS (SELECT id AS x, id AS y FROM classes UNION SELECT r.x, p.b FROM reach r JOIN pairs p ON r.y = p.a),
+least AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x),
+degree AS (SELECT a, sum(size) AS n FROM pairs GROUP BY a)
+SELECT d.doc_id, d.n AS n_shingles, (coalesce(c.size - 1, 0) + coalesce(g.n, 0))::BIGINT AS n_links, coalesce(l.component_id, d.doc_id) AS component_id
+FROM keyed d LEFT JOIN classes c ON d.n > 0 AND c.k = d.k LEFT JOIN least l ON l.x = c.id LEFT JOIN degree g ON g.a = c.id
+"""
+
+SHARDS = """
+WITH h AS (SELECT doc_id, coalesce(strlen(text), 0) AS size, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'text:' || coalesce(text, ''))), 1, 15))::BIGINT AS h FROM documents),
+p AS (SELECT doc_id, size, d.depth, h >> (60 - d.depth) AS prefix FROM h, (SELECT unnest(range(0, 61))::INTEGER AS depth) d),
+b AS (SELECT depth, prefix, sum(size)::BIGINT AS shard_bytes, count(*) AS shard_rows FROM p GROUP BY depth, prefix HAVING sum(size) <= 1048576),
+leaf AS (SELECT doc_id, arg_min(prefix, depth) AS prefix, min(depth) AS depth FROM p SEMI JOIN b USING (depth, prefix) GROUP BY doc_id)
+SELECT doc_id, CASE WHEN depth = 0 THEN '' ELSE lpad(bin(prefix), depth, '0') END AS shard, depth, shard_bytes, shard_rows
+FROM leaf JOIN b USING (depth, prefix)
+"""
