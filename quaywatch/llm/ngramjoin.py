@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from quaywatch.llm import words
 from quaywatch.llm.groups import each_group, roots, shared
-from quaywatch.llm.tables import components, partitions, written
+from quaywatch.llm.tables import components, partitions, settled, written
 
 
 @dataclass(frozen=True)
@@ -355,6 +355,7 @@ def _verified(prefixes: DataFrame, chained: DataFrame, how: Join) -> DataFrame:
 def join(documents: DataFrame, how: Join = Join(), id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(doc_id, text_key, root, n_shingles, n_links, component_id) of each document; root names its group."""
     docs = documents.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"), F.xxhash64(F.coalesce(F.col(text_column), F.lit(""))).alias("text_key"))
+    docs = settled(docs, "join-texts")  # runs are named by task, and must be the same in a repeated one
     sets = written(_sets(docs, how), "join-sets")
     classes = sets.where("n > 0").groupBy("cls").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("first"), F.count("*").alias("size"), F.first("n").alias("n"), F.max("others").alias("others"))
     classes = written(classes.select("cls", "first.doc_id", "first.text_key", "size", "n", "others"), "join-classes")
@@ -384,7 +385,9 @@ def one_of_each(documents: DataFrame, how: Join = Join(), id_column: str = "doc_
     first = first.join(alike, F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_key") == F.col("_k")), "left").select("_id", "_key", F.col("_k").isNotNull().alias("_again"))
     none = joined.where("n_shingles = 0").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.lit(False).alias("_again")).distinct()
     keep = written(first.unionByName(none), "join-kept")
-    match = F.col(id_column).eqNullSafe(F.col("_id")) & (F.xxhash64(F.coalesce(F.col(text_column), F.lit(""))) == F.col("_key"))
-    single = documents.join(keep.where("not _again"), match, "left_semi")
-    again = documents.join(keep.where("_again"), match).select(*documents.columns, "_key").dropDuplicates([id_column, "_key"]).drop("_key")
-    return single.unionByName(again)
+    columns = documents.columns
+    whole = documents.select(F.struct(*(F.col(f"`{c}`") for c in columns)).alias("_whole"), F.col(id_column).alias("_doc"), F.xxhash64(F.coalesce(F.col(text_column), F.lit(""))).alias("_hash"))
+    match = F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_key"))
+    single = whole.join(keep.where("not _again"), match, "left_semi").select("_whole")
+    again = whole.join(keep.where("_again"), match, "left_semi").dropDuplicates(["_doc", "_hash"]).select("_whole")
+    return single.unionByName(again).select(*(F.col("_whole")[c].alias(c) for c in columns))

@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quaywatch.llm.tables import written
@@ -38,10 +38,6 @@ def hashed(documents: DataFrame, id_column: str = "doc_id", text_column: str = "
     return documents.withColumns({_HASH: F.conv(F.substring(F.md5(key.cast("binary")), 1, BITS // 4), 16, 10).cast("long"), _SIZE: F.octet_length(text).cast("long")})
 
 
-def _prefix(depth: Column) -> Column:
-    return F.expr(f"shiftright({_HASH}, {BITS} - depth)") if depth is None else F.shiftright(F.col(_HASH), depth)
-
-
 def _nodes(cells: DataFrame, low: int, high: int) -> DataFrame:
     """(hash, depth, prefix, bytes, n_rows): each cell beside the buckets that it lies in, of depths low to high."""
     spread = cells.select(_HASH, _SIZE, "n", F.explode(F.sequence(F.lit(low), F.lit(high))).alias("depth")).withColumn("prefix", F.expr(f"shiftright({_HASH}, {BITS} - depth)"))
@@ -102,6 +98,10 @@ def shards(documents: DataFrame, limit: int = LIMIT, id_column: str = "doc_id",
 
 
 def write_shards(documents: DataFrame, path: str, limit: int = LIMIT, id_column: str = "doc_id", text_column: str = "text") -> None:
-    """The documents, all their columns, in one folder of Parquet a shard."""
-    placed = assign(hashed(documents, id_column, text_column), limit)
-    placed.repartition("shard").write.partitionBy("shard").parquet(path)
+    """The documents, all their columns, in one folder of Parquet a shard, `shard=...`; a column of that name gets the folders called `shard_`."""
+    marked = hashed(documents.select(F.struct(*(F.col(f"`{c}`") for c in documents.columns)).alias("_whole"), F.col(id_column).alias("_id"), F.col(text_column).alias("_text")), "_id", "_text")
+    placed = assign(marked.drop("_id", "_text"), limit)
+    name = "shard"
+    while name in documents.columns:
+        name += "_"
+    placed.select(*(F.col("_whole")[c].alias(c) for c in documents.columns), F.col("shard").alias(name)).repartition(name).write.partitionBy(name).parquet(path)

@@ -34,6 +34,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def settled(df: DataFrame, name: str) -> DataFrame:
+    """`df` itself where a scan gives its rows, which a repeated task reads alike; written where a shuffle does."""
+    return written(df, name) if "Exchange" in df._jdf.queryExecution().executedPlan().toString() else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
