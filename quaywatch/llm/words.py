@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that are looked at in one go; a longer text is taken alone and whole.
-CHUNK = 4 << 20
+CHUNK = 1 << 20
 WIDTH = 5
 _M = np.uint64(0xFF51AFD7ED558CCD)
 _N = np.uint64(0xC4CEB9FE1A85EC53)
