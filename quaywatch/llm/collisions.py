@@ -138,11 +138,12 @@ def _linked(rows: DataFrame, how: Search) -> DataFrame:
     key = ["label", "dimension", "cell"]
     rows = rows.where("vector is not null").select("row", *key, "vector")
     cells = rows.groupBy(*key).agg(F.ceil(F.count("*") / how.block).cast("int").alias("blocks"))
-    near = cells.select("label", "dimension", F.explode(F.array(F.lit(-1), F.lit(0))).alias("step"), "cell", "blocks")
     # A cell's vectors go to all pairs of its own blocks, and of its blocks with the next cell's.
     around = cells.select(*key, F.col("blocks").alias("own"))
-    around = around.join(near.where("step = -1").select("label", "dimension", (F.col("cell") - 1).alias("cell"), F.col("blocks").alias("after")), key, "left")
+    around = around.join(cells.select("label", "dimension", (F.col("cell") - 1).alias("cell"), F.col("blocks").alias("after")), key, "left")
     around = around.join(cells.select("label", "dimension", (F.col("cell") + 1).alias("cell"), F.col("blocks").alias("before")), key, "left")
+    # A table of its own, so that a cell with many vectors can be split in the join.
+    around = written(around, "vector-cells")
     placed = rows.join(around, key).withColumn("mine", F.pmod(F.xxhash64("row"), F.col("own")).cast("int"))
     inside = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("own") - 1))).select(*key, F.lit(0).alias("next"), F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), (F.col("mine") > F.col("other")).cast("int").alias("side"), "row", "vector")
     above = placed.where("after is not null").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("after") - 1))).select(*key, F.lit(1).alias("next"), F.col("mine").alias("i"), F.col("other").alias("j"), F.lit(0).alias("side"), "row", "vector")
