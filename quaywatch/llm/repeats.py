@@ -71,6 +71,8 @@ def passages(documents: DataFrame, min_words: int = 50, by: str = "line", id_col
     # Grouped by digest with map-side minima, so that a digest of a third of all rows costs one row a task.
     first = found.groupBy("digest").agg(F.min(F.struct("doc_id", "text_key", "unit")).alias("kept"), F.count("*").alias("n"), F.max(F.struct("doc_id", "text_key", "unit")).alias("top"))
     first = first.where(~F.col("kept").eqNullSafe(F.col("top"))).select("digest", "kept")
+    # A table of its own, so that a digest with many units can be split in the join.
+    first = written(first, "unit-firsts")
     later = found.join(first, "digest").where(~F.struct("doc_id", "text_key", "unit").eqNullSafe(F.col("kept")))
     # A document's repeats by unit number: neighbours share unit - rank.
     one = later.dropDuplicates(["doc_id", "text_key", "unit"])
