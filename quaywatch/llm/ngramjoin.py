@@ -370,6 +370,8 @@ def join(documents: DataFrame, how: Join = Join(), id_column: str = "doc_id", te
     linked = linked.join(least, "root").select(F.col("node").alias("cls"), "root", "least")
     told = classes.select("cls", "doc_id", "size").join(counts, "cls", "left").join(linked, "cls", "left")
     told = told.select("cls", F.coalesce("root", "cls").alias("root"), (F.col("size") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("least", "doc_id").alias("component_id"))
+    # A table of its own, so that a class with many documents can be split in the join.
+    told = written(told, "join-told")
     some = sets.where("n > 0").join(told, "cls").select("doc_id", "text_key", "root", F.col("n").alias("n_shingles"), "n_links", "component_id")
     none = sets.where("n = 0").select("doc_id", "text_key", F.col("cls").alias("root"), F.col("n").alias("n_shingles"), F.lit(0).cast("long").alias("n_links"), F.col("doc_id").alias("component_id"))
     return some.unionByName(none)
