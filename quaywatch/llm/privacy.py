@@ -40,7 +40,7 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
 TERM = re.compile(r"[A-Za-z\x80-\U0010ffff]+")
 #: Bits of the filter that spares most words the exact join; its size is fixed.
-FILTER_BITS = 20
+FILTER_BITS = 18
 
 
 @dataclass(frozen=True)
