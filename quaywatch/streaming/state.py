@@ -10,7 +10,8 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 from pyspark.sql.types import StructType
 
 from quaywatch.plans.alerts import BurnRate, population
@@ -114,3 +115,9 @@ def alert_stream(rows: DataFrame, how: BurnRate = BurnRate()) -> DataFrame:
 
     schema = StructType.fromDDL("cdn string, state string, tier string, minute long")
     return population(rows).groupBy("cdn").transformWithStateInPandas(Alerts(), schema, "append", "None")
+
+
+def alerts_to_table(rows: DataFrame, path: str, checkpoint: str, how: BurnRate = BurnRate(), trigger: dict | None = None) -> StreamingQuery:
+    """Transitions with processed_at, appended to a table that `serving.current_alerts` reads."""
+    out = alert_stream(rows, how).withColumn("processed_at", F.current_timestamp())
+    return out.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start(path)

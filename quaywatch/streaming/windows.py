@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quaywatch.functions import qoe
+from quaywatch.operators import sinks
 from quaywatch.operators.intervals import active_break
 from quaywatch.plans import speed
 
@@ -50,3 +51,35 @@ def to_table(rows: DataFrame, path: str, checkpoint: str, partition_by: str = "w
         tagged(df, markers(), size_s).write.mode("append").partitionBy(partition_by).parquet(path)
 
     return rows.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(**how).start()
+
+
+def upsert_to_table(rows: DataFrame, path: str, checkpoint: str, keys: tuple[str, ...] = ("session_id", "window_start", "window_bucket"), trigger: dict | None = None) -> StreamingQuery:
+    """Each batch replaces the rows of its keys and adds the others; a batch that is run again changes nothing.
+
+    Appending is cheaper, and `staging.dedupe_on_read` makes up for copies; this is for readers that can't.
+    """
+
+    def batch(df: DataFrame, _: int) -> None:
+        sinks.upsert(df, path, list(keys), ["window_bucket"])
+
+    return rows.withColumn("processed_at", F.current_timestamp()).writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+
+
+def late_to_table(events: DataFrame, path: str, checkpoint: str, delay_s: float, trigger: dict | None = None) -> StreamingQuery:
+    """Events that came later than the delay behind the latest event of earlier batches, appended to a table.
+
+    The rows themselves, beside the count that the windows' state reports. The
+    latest event of each batch is kept beside the table, so a restart goes on from it.
+    """
+    seen = f"{path}-seen"
+
+    def batch(df: DataFrame, number: int) -> None:
+        spark = df.sparkSession
+        earlier = spark.read.parquet(seen).where(F.col("batch") < number).agg(F.max("latest")).first()[0] if sinks.exists(spark, seen) else None
+        df.persist()
+        if earlier is not None:
+            df.where(F.col("event_time") < F.lit(earlier) - F.make_dt_interval(secs=F.lit(delay_s).cast("decimal(18,6)"))).write.mode("append").parquet(path)
+        df.agg(F.max("event_time").alias("latest")).where("latest is not null").withColumn("batch", F.lit(number).cast("long")).coalesce(1).write.mode("append").parquet(seen)
+        df.unpersist()
+
+    return events.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()

@@ -100,3 +100,21 @@ def test_replay_is_paced_without_drift(spark, tmp_path):
     assert replay.replay(df, str(tmp_path / "out"), speed=10, slice_s=10, clock=lambda: now[0], sleep=sleep) == 3
     assert naps == [pytest.approx(1.0), pytest.approx(0.95)]
     assert spark.read.json(str(tmp_path / "out/t")).count() == 4
+
+
+def test_late_rows_upserts_and_alert_table(spark, tmp_path, sf_dir):
+    state.use_rocksdb(spark)
+    start = datetime(2026, 1, 1)
+    rows = [(f"e{k}", "s", start + timedelta(seconds=t), "heartbeat", "cdn-a", 1, "tv", "SE", start + timedelta(seconds=k)) for k, t in enumerate([0, 10, 200, 195, 5])]
+    df = spark.createDataFrame(rows, "event_id string, session_id string, event_time timestamp_ntz, event_type string, cdn string, bitrate_kbps int, device_type string, geo_region string, _ingested_at timestamp_ntz")
+    events = stream(spark, tmp_path, df, n=5)
+    q = windows.late_to_table(events, str(tmp_path / "late"), str(tmp_path / "cp1"), delay_s=10)
+    assert q.awaitTermination(240)
+    assert [r.event_id for r in spark.read.parquet(str(tmp_path / "late")).collect()] == ["e4"]
+    for again in ("a", "b"):  # the second run writes the same windows once more
+        q = windows.upsert_to_table(windows.windows(events, delay="1 hour"), str(tmp_path / "up"), str(tmp_path / f"cp-{again}"))
+        assert q.awaitTermination(240)
+    assert sorted(r.events for r in spark.read.parquet(str(tmp_path / "up")).where("session_id = 's'").collect()) == [2, 3]
+    q = state.alerts_to_table(windows.windows(events), str(tmp_path / "alerts"), str(tmp_path / "cp2"))
+    assert q.awaitTermination(240)
+    assert spark.read.parquet(str(tmp_path / "alerts")).columns == ["cdn", "state", "tier", "minute", "processed_at"]
