@@ -311,6 +311,7 @@ def _verified(prefixes: DataFrame, chained: DataFrame, how: Join) -> DataFrame:
     """(cls, links, low): of each set and pair of blocks, the documents linked, and a set that it is connected with."""
     placed = prefixes.join(chained, "cls")
     sizes = placed.groupBy("root").agg(F.ceil(F.greatest(F.count("*") / how.block_sets, F.sum("n") / how.block_tokens)).cast("int").alias("blocks"))
+    sizes = written(sizes, "join-blocks")
     placed = placed.join(sizes, "root").withColumn("mine", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
     spread = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumns({"i": F.least("mine", "other"), "j": F.greatest("mine", "other")}).drop("other", "blocks")
 
@@ -366,7 +367,7 @@ def join(documents: DataFrame, how: Join = Join(), id_column: str = "doc_id", te
     found = components(links.where("cls <> low").select(F.col("cls").alias("a"), F.col("low").alias("b")))
     counts = links.groupBy("cls").agg(F.sum("links").alias("links"))
     linked = found.join(classes.select(F.col("cls").alias("node"), "doc_id"), "node")
-    least = linked.groupBy("root").agg(F.min("doc_id").alias("least"))
+    least = written(linked.groupBy("root").agg(F.min("doc_id").alias("least")), "join-roots")
     linked = linked.join(least, "root").select(F.col("node").alias("cls"), "root", "least")
     told = classes.select("cls", "doc_id", "size").join(counts, "cls", "left").join(linked, "cls", "left")
     told = told.select("cls", F.coalesce("root", "cls").alias("root"), (F.col("size") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("least", "doc_id").alias("component_id"))

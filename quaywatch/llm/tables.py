@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir; one of our own only where that is unset."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
@@ -23,11 +26,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """`df` as a Parquet table in the shared folder, read again.
 
     A lost executor then costs the tasks that ran on it and nothing before the
-    table. The folder goes when the driver's JVM ends.
+    table. Shuffle files of the write go once it is done, since nothing reads
+    them again; the folder goes when the driver's JVM ends.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before) if before is not None else spark.conf.unset(_CLEANUP)
     jvm = spark.sparkContext._jvm
     there = jvm.org.apache.hadoop.fs.Path(path)
     there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(there)
@@ -62,12 +71,14 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int =
     seen = now.select(mark.alias("m")).first().m
     for _ in range(most_rounds):
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), F.least("m", "u").alias("m"))
+        # The minima are a table, so that the join can split a node with many neighbours.
+        low = written(both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), F.least("m", "u").alias("m")), "cc-low")
         large = (
             both.where("v > u").join(low, F.col("u") == F.col("k")).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         )
         # Small star: every smaller neighbour of u, and u, hook to the smallest of them.
-        low = large.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), "m")
+        large = written(large, "cc-large")
+        low = written(large.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), "m"), "cc-low")
         hooked = large.join(low, F.col("u") == F.col("k"))
         now = written(
             hooked.select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
