@@ -182,7 +182,8 @@ def near_duplicates(vectors: DataFrame, how: Search = Search(), id_column: str =
     counts = links.groupBy("row").agg(F.sum("links").alias("links"))
     ids = rows.select("row", "vec_id")
     members = found.join(ids, F.col("node") == F.col("row")).select("node", "root", "vec_id")
-    least = members.join(members.groupBy("root").agg(F.min("vec_id").alias("least")), "root").select(F.col("node").alias("row"), "least")
+    lowest = written(members.groupBy("root").agg(F.min("vec_id").alias("least")), "vector-roots")
+    least = members.join(lowest, "root").select(F.col("node").alias("row"), "least")
     told = ids.join(counts, "row", "left").join(least, "row", "left")
     component = F.coalesce("least", "vec_id")
     return told.select("vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.col("vec_id").eqNullSafe(component).alias("kept"))
