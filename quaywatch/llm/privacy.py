@@ -182,17 +182,16 @@ def find(documents: DataFrame, how: Disclosure = Disclosure(), id_column: str =
     seen = found.where(F.size("near") > 0).select("row", "text_key", F.explode("near").alias("x")).select("row", "text_key", "x.*")
     seen = seen.select("row", "text_key", "entity", "term", "start", "end")
     by_row = seen.select("entity", "term", "row", "text_key").distinct()
-    pairs = by_row.groupBy("entity", "term").agg(F.count("row").alias("c"), F.approx_count_distinct("text_key", 0.01).alias("about"), F.min("text_key").alias("k0"), F.max("text_key").alias("k1"))
-    # Exact for the small supports that matter: distinct texts are counted after the rows are.
-    pairs = pairs.where((F.col("c") >= how.support) & (F.col("k0") != F.col("k1"))).select("entity", "term", "c")
-    texts = by_row.select("entity", "term", "text_key").distinct().groupBy("entity", "term").agg(F.count("*").alias("texts")).where(F.col("texts") >= how.support)
-    pairs = written(pairs.join(texts, ["entity", "term"]), "pii-pairs")
+    # Rows of one text are counted first, so that texts of a pair are counted with what is left.
+    by_text = by_row.groupBy("entity", "term", "text_key").agg(F.count("*").alias("n"))
+    pairs = by_text.groupBy("entity", "term").agg(F.sum("n").alias("c"), F.count("*").alias("texts")).where(F.col("texts") >= how.support)
+    pairs = written(pairs.select("entity", "term", "c"), "pii-pairs")
     entities = seen.select("entity", "row").distinct().groupBy("entity").agg(F.count("row").alias("d_entity"))
     d_terms = _document_counts(docs, pairs.select("term").distinct())
-    total = found.agg(F.count("*").alias("n"))
-    ic = F.log2(F.col("n") / F.col("d_entity"))
-    pmi = F.log2(F.col("c") * F.col("n") / (F.col("d_entity") * F.col("d_term")))
-    told = pairs.join(d_terms, "term").join(entities, "entity").crossJoin(F.broadcast(total)).where((ic > 0) & (pmi >= how.alpha * ic)).select("entity", "term")
+    n = F.lit(float(found.count()))
+    ic = F.log2(n / F.col("d_entity"))
+    pmi = F.log2(F.col("c") * n / (F.col("d_entity") * F.col("d_term")))
+    told = pairs.join(d_terms, "term").join(entities, "entity").where((ic > 0) & (pmi >= how.alpha * ic)).select("entity", "term")
     spans = (
         seen.join(told, ["entity", "term"]).select("row", "start", "end").distinct().groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("s"))
         .select("row", F.size("s").cast("long").alias("n_term"), F.array_join(F.transform("s", lambda x: F.concat(F.lit("term:"), x["start"], F.lit(":"), x["end"])), ",").alias("more"))
