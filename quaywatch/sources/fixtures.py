@@ -44,7 +44,7 @@ def player(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = e.withColumn("again", F.explode(F.when(F.col("event_id") % 100 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
     k, event_time = F.col("k"), _after(F.col("r.at"))
     newer = F.when(k == 7, "cellular").when(k == 8, "wifi").when(k == 9, "ethernet")
-    return e.join(F.broadcast(regions), user % 5 == F.col("r_regionkey")).select(
+    return e.join(regions, user % 5 == F.col("r_regionkey")).select(
         F.concat(F.lit("e"), "event_id", "r.tail").alias("event_id"), F.concat(F.lit("s"), user).alias("session_id"), F.concat(F.lit("u"), user).alias("user_id"),
         event_time.alias("event_time"), F.col("r.t").alias("event_type"), F.concat(F.lit("c"), user % 20).alias("content_id"), F.lit(True).alias("is_live"),
         F.element_at(F.array(F.lit("smart_tv"), F.lit("mobile"), F.lit("web")), (user % 3 + 1).cast("int")).alias("device_type"),
