@@ -41,6 +41,8 @@ DIGIT = re.compile(r"[0-9]")
 TERM = re.compile(r"[A-Za-z\x80-\U0010ffff]+")
 #: Bits of the filter that spares most words the exact join; its size is fixed.
 FILTER_BITS = 18
+#: Counts that a task holds before it sums them by term.
+_HELD = 2_000_000
 
 
 @dataclass(frozen=True)
@@ -158,6 +160,12 @@ def _document_counts(documents: DataFrame, terms: DataFrame) -> DataFrame:
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = np.unpackbits(np.frombuffer(sent.value, dtype=np.uint8)).astype(bool)
+        held, counts, size = [], [], 0
+
+        def summed() -> pa.RecordBatch:
+            term, at = np.unique(np.concatenate(held), return_inverse=True)
+            return pa.RecordBatch.from_arrays([pa.array(term.view(np.int64)), pa.array(np.bincount(at, weights=np.concatenate(counts)).astype(np.int64))], ["term", "n"])
+
         for batch in batches:
             for _, data, offsets in words.chunks(batch):
                 hashes, rows = words.word_hashes(data, offsets, words.NOT_LETTER)
@@ -169,7 +177,14 @@ def _document_counts(documents: DataFrame, terms: DataFrame) -> DataFrame:
                     new = np.ones(len(hashes), dtype=bool)
                     new[1:] = (hashes[1:] != hashes[:-1]) | (rows[1:] != rows[:-1])
                     term, n = np.unique(hashes[new], return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(term.view(np.int64)), pa.array(n.astype(np.int64))], ["term", "n"])
+                    held.append(term)
+                    counts.append(n)
+                    size += len(term)
+                    if size >= _HELD:  # a row for each term and so many counts, not for each chunk of text
+                        yield summed()
+                        held, counts, size = [], [], 0
+        if held:
+            yield summed()
 
     counted = documents.select("text").mapInArrow(each, "term long, n long").groupBy("term").agg(F.sum("n").alias("d_term"))
     return counted.join(terms, "term")
