@@ -92,10 +92,19 @@ def upsert(batch: DataFrame, path: str, keys: list[str], partition_by: list[str]
     """Rows of known keys are replaced, others added; only partitions that the batch touches are read and rewritten.
 
     Partition columns are part of a key. Of a key's rows in one batch, one stays.
-    The new partitions are staged whole before the old ones go.
+    The new partitions are staged whole before the old ones go. An empty batch changes nothing.
     """
     spark, batch = batch.sparkSession, typed(batch, hints)
-    batch = batch.dropDuplicates(keys)
+    batch = batch.dropDuplicates(keys).persist()
+    try:
+        return _upsert(spark, batch, path, keys, partition_by)
+    finally:
+        batch.unpersist()
+
+
+def _upsert(spark: SparkSession, batch: DataFrame, path: str, keys: list[str], partition_by: list[str]) -> int:
+    if batch.isEmpty():
+        return version(spark, path)
     if not has_table(spark, path):
         batch.write.mode("append").partitionBy(*partition_by).parquet(path)
         return _commit(spark, path, "upsert")
