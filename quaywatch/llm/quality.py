@@ -8,7 +8,10 @@ a multiple of the identity,
 over features that are scaled by pooled deviation. The score is the logistic of
 the difference of log densities, log prior included; the Mahalanobis terms use
 Cholesky factors that are computed once, on the driver. Moments are summed over
-all labelled rows that are not held out, so no sample is taken.
+all labelled rows that are not held out, so no sample is taken. The weights a
+and b are those of GRID with the least log loss over FOLDS folds of these same
+rows, each fold scored by the moments of the others; ties go to the stronger
+weights. Held-out labels are never read.
 
 Inputs of a score are statistics of the text alone. Null texts are empty texts.
 Every input row gives one row, repeated rows alike. Rows without a doc_id are
@@ -41,6 +44,9 @@ _CLASSES = (
 )
 FEATURES = ("words", "word_length", "distinct", "repeats", "symbols", "exclaims", "stops", "digits", "capitals", "lines")
 THRESHOLD = 0.7
+FOLDS = 5
+#: (to_pooled, to_identity), the strongest first.
+GRID = tuple((b, a) for b in (1.0, 0.8, 0.6, 0.4, 0.2, 0.0) for a in (0.3, 0.1, 0.03, 0.01, 0.001))
 
 
 def features(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -81,12 +87,16 @@ class Model:
     factors: tuple[np.ndarray, np.ndarray]
     constants: tuple[float, float]
 
-    def scores(self, x: np.ndarray) -> np.ndarray:
+    def odds(self, x: np.ndarray) -> np.ndarray:
+        """Log odds of class 1."""
         logs = []
         for mean, factor, constant in zip(self.means, self.factors, self.constants):
             away = (x / self.scale - mean) @ factor.T
             logs.append(constant - 0.5 * np.einsum("ij,ij->i", away, away))
-        return 1 / (1 + np.exp(np.clip(logs[0] - logs[1], -700, 700)))
+        return np.clip(logs[1] - logs[0], -700, 700)
+
+    def scores(self, x: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-self.odds(x)))
 
 
 @dataclass(frozen=True)
@@ -95,11 +105,14 @@ class Constant:
 
     score: float
 
+    def odds(self, x: np.ndarray) -> np.ndarray:
+        return np.full(len(x), 700.0 if self.score else -700.0)
+
     def scores(self, x: np.ndarray) -> np.ndarray:
         return np.full(len(x), self.score)
 
 
-def fit_moments(moments: dict[int, tuple[float, np.ndarray, np.ndarray]], to_pooled: float = 0.8, to_identity: float = 0.1) -> Model | Constant:
+def fit_moments(moments: dict[int, tuple[float, np.ndarray, np.ndarray]], to_pooled: float, to_identity: float) -> Model | Constant:
     """moments: for class 0 and 1, the rows, their sum, and the sum of outer products."""
     moments = {k: m for k, m in moments.items() if m[0] > 0}
     if 0 not in moments:
@@ -138,31 +151,61 @@ def _featured(documents: DataFrame, id_column: str, text_column: str) -> DataFra
     return documents.select(documents[id_column].alias("doc_id"), documents[text_column].alias("text")).mapInArrow(each, "doc_id long, x array<double>")
 
 
-def fit_features(featured: DataFrame, labels: DataFrame) -> Model | Constant:
-    """Moments of all labelled rows that are not held out; two classes' sums reach the driver."""
+def _parted(sums: np.ndarray) -> dict[int, tuple[float, np.ndarray, np.ndarray]]:
+    """fit_moments' moments, from a row of 1 + d + d * d sums for each class."""
+    d = len(FEATURES)
+    return {k: (v[0], v[1 : 1 + d], v[1 + d :].reshape(d, d)) for k, v in enumerate(sums)}
+
+
+def _fold_moments(labelled: DataFrame) -> np.ndarray:
+    """Sums by fold and class; FOLDS * 2 of them reach the driver."""
     d = len(FEATURES)
-    learn = labels.where(F.col("quality").isin(0, 1) & (remainder(F.col("doc_id")) != 2)).select("doc_id", "quality")
-    joined = featured.join(learn, "doc_id").select("quality", "x")
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = {0: np.zeros(1 + d + d * d), 1: np.zeros(1 + d + d * d)}
+        kept = np.zeros((FOLDS * 2, 1 + d + d * d))
         for batch in batches:
             x = batch.column("x").flatten().to_numpy().reshape(-1, d)
-            y = batch.column("quality").to_numpy(zero_copy_only=False)
-            for k in kept:
-                mine = x[y == k]
+            part = batch.column("part").to_numpy(zero_copy_only=False)
+            for k in range(FOLDS * 2):
+                mine = x[part == k]
                 kept[k] += np.concatenate([[len(mine)], mine.sum(axis=0), (mine.T @ mine).ravel()])
-        yield pa.RecordBatch.from_arrays([pa.array(list(kept), pa.int32()), pa.array([list(v) for v in kept.values()], pa.list_(pa.float64()))], ["quality", "s"])
+        some = np.flatnonzero(kept[:, 0])
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([kept[k] for k in some], pa.list_(pa.float64()))], ["part", "s"])
 
-    rows = joined.mapInArrow(sums, "quality int, s array<double>").select("quality", F.posexplode("s").alias("at", "s")).groupBy("quality", "at").agg(F.sum("s").alias("s")).collect()
-    moments = {}
-    for k in (0, 1):
-        v = np.zeros(1 + d + d * d)
-        for r in rows:
-            if r.quality == k:
-                v[r.at] = r.s
-        moments[k] = (v[0], v[1 : 1 + d], v[1 + d :].reshape(d, d))
-    return fit_moments(moments)
+    out = np.zeros((FOLDS * 2, 1 + d + d * d))
+    for r in labelled.mapInArrow(sums, "part int, s array<double>").select("part", F.posexplode("s").alias("at", "s")).groupBy("part", "at").agg(F.sum("s").alias("s")).collect():
+        out[r.part, r.at] = r.s
+    return out.reshape(FOLDS, 2, -1)
+
+
+def choose_weights(labelled: DataFrame, moments: np.ndarray) -> tuple[float, float]:
+    """The weights of GRID with the least log loss over all folds; a loss for each reaches the driver."""
+    d = len(FEATURES)
+    models = [[fit_moments(_parted(moments.sum(axis=0) - moments[fold]), *weights) for fold in range(FOLDS)] for weights in GRID]
+
+    def losses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lost = np.zeros(len(GRID))
+        for batch in batches:
+            x = batch.column("x").flatten().to_numpy().reshape(-1, d)
+            part = batch.column("part").to_numpy(zero_copy_only=False)
+            for k in np.unique(part):
+                mine, sign = x[part == k], 1 if k % 2 else -1
+                for g, by_fold in enumerate(models):
+                    lost[g] += np.logaddexp(0, -sign * by_fold[k // 2].odds(mine)).sum()
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(GRID)), pa.int32()), pa.array(lost)], ["at", "loss"])
+
+    found = {r["at"]: r.loss for r in labelled.mapInArrow(losses, "at int, loss double").groupBy("at").agg(F.sum("loss").alias("loss")).collect()}
+    return GRID[min(range(len(GRID)), key=lambda g: (found.get(g, 0.0), g))]
+
+
+def fit_features(featured: DataFrame, labels: DataFrame) -> Model | Constant:
+    """The model of all labelled rows that are not held out; these alone choose its weights."""
+    learn = labels.where(F.col("quality").isin(0, 1) & (remainder(F.col("doc_id")) != 2)).select("doc_id", "quality")
+    # Rows of one doc_id are in one fold.
+    part = F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)) * 2 + F.col("quality")
+    labelled = written(featured.join(learn, "doc_id").select(part.cast("int").alias("part"), "x"), "labelled")
+    moments = _fold_moments(labelled)
+    return fit_moments(_parted(moments.sum(axis=0)), *choose_weights(labelled, moments))
 
 
 def score(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

@@ -203,6 +203,38 @@ def test_score_is_the_difference_of_log_densities():
     assert np.allclose(model.scores(x), 1 / (1 + np.exp(logs[0] - logs[1])))
 
 
+def test_weights_come_from_labels_that_are_not_held_out(spark, monkeypatch):
+    """The chosen weights equal a brute-force cross-validation, and other held-out labels change nothing."""
+    rng = random.Random(3)
+    n = 240
+    texts = [" ".join(rng.choice(["word", "Text", "a", "12", "!!", "x."] if k % 2 else ["some", "plain", "words", "here", "12"]) for _ in range(rng.randint(1, 40))) for k in range(n)]
+    docs = documents(spark, *texts)
+    flip = [(k, int(rng.random() < 0.85) ^ (k % 2), 0) for k in range(n)]
+    seen = []
+    choose = quality.choose_weights
+    monkeypatch.setattr(quality, "choose_weights", lambda *a: seen.append(choose(*a)) or seen[-1])
+    labels = spark.createDataFrame(flip, "doc_id long, quality int, toxic int")
+    scores = sorted((r.doc_id, round(r.score, 9)) for r in quality.score(docs, labels).collect())
+    other = [(k, 1 - q if zlib.crc32(str(k).encode()) % 4 == 2 else q, t) for k, q, t in flip]
+    assert scores == sorted((r.doc_id, round(r.score, 9)) for r in quality.score(docs, spark.createDataFrame(other, labels.schema)).collect())
+    folds = {r.id: r.f for r in spark.range(n).selectExpr("id", f"pmod(xxhash64(id), {quality.FOLDS}) AS f").collect()}
+    learn = [(k, q) for k, q, _ in flip if zlib.crc32(str(k).encode()) % 4 != 2]
+    data = [t.encode() for t in texts]
+    x = quality.features(np.frombuffer(b"".join(data), dtype=np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in data])]))
+    best = []
+    for weights in quality.GRID:
+        loss = 0.0
+        for fold in range(quality.FOLDS):
+            moments = {c: x[[k for k, q in learn if q == c and folds[k] != fold]] for c in (0, 1)}
+            model = quality.fit_moments({c: (len(v), v.sum(0), v.T @ v) for c, v in moments.items()}, *weights)
+            for k, q in learn:
+                if folds[k] == fold:
+                    p = float(model.scores(x[k : k + 1])[0])
+                    loss -= math.log(max(p if q else 1 - p, 1e-300))
+        best.append(loss)
+    assert seen == [quality.GRID[int(np.argmin(best))]] * 2
+
+
 def test_quality_edges(spark):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     df = documents(spark, *ODD, extra=True)
