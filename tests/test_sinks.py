@@ -30,10 +30,10 @@ def test_upsert_replaces_adds_and_leaves_other_partitions(spark, tmp_path):
     path = str(tmp_path / "t")
     keys = ["session_id", "window_start"]
     sinks.upsert(rows(spark, ("s1", "w1", "b1", 1, None, None), ("s2", "w1", "b1", 1, None, None), ("s1", "w9", "b2", 1, None, None)), path, keys, ["window_bucket"])
-    other = [f for f in sinks.files(spark, path) if "b2" in f[0]]
+    other = [f for f in sinks.files(spark, path) if "window_bucket=b2" in f[0]]
     sinks.upsert(rows(spark, ("s1", "w1", "b1", 5, "m", 1), ("s3", "w1", "b1", 6, "m", 1)), path, keys, ["window_bucket"])
     assert sorted((r.session_id, r.window_start, r.events) for r in sinks.read(spark, path).collect()) == [("s1", "w1", 5), ("s1", "w9", 1), ("s2", "w1", 1), ("s3", "w1", 6)]
-    assert [f for f in sinks.files(spark, path) if "b2" in f[0]] == other
+    assert [f for f in sinks.files(spark, path) if "window_bucket=b2" in f[0]] == other
     assert sinks.version(spark, path) == 2
 
 
