@@ -6,9 +6,11 @@ the excess goes to the others by weight until none is above.
 
 A source's documents are dealt by hash into blocks. A target of r times the
 source's words draws every block floor(r) times and, for the rest of r, whole
-blocks in a permuted order up to the rest; in the block that crosses it,
-documents in a permuted order; and last a few documents that fit into what is
-still missing, the largest first, and one that brings the total nearer.
+blocks in a permuted order up to the rest, and in the block that crosses it,
+documents in a permuted order up to the first that overshoots. That document is
+passed over, and rounds over all that is left fill what is missing, until no
+document fits; last comes the smallest, if it brings the total nearer. So a
+total is off its target by half of the smallest document left, at most.
 
 The draws are dealt over output shards by a splitting tree: a node's draws are
 halved by a uniformly random subset of exactly half of them, so the sources'
@@ -84,8 +86,8 @@ def _order(how: Mix, *columns: str) -> Column:
     return F.xxhash64(F.lit(how.seed), *(F.lit(c) if c == "doc" else F.col(c) for c in columns))
 
 
-def plan(sized: DataFrame, how: Mix = Mix()) -> tuple[DataFrame, DataFrame]:
-    """Per source, what its documents need to know; per block, the shards of its draws.
+def plan(sized: DataFrame, how: Mix = Mix()) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Per source, what its documents need to know; per block, the shards of its draws; and the units of several rows.
 
     sized: source_key, doc_id, size. The first has a row a source, the second at
     most `blocks` rows a source, whatever the documents.
@@ -95,57 +97,91 @@ def plan(sized: DataFrame, how: Mix = Mix()) -> tuple[DataFrame, DataFrame]:
         "passes": F.when(F.col("source_size") > 0, F.least(F.lit(how.most), F.floor(F.col("target") / F.col("source_size") + F.lit(1e-12)))).otherwise(0).cast("int"),
     })
     each = written(each.withColumn("rest", F.greatest(F.lit(0.0), F.col("target") - F.col("passes") * F.col("source_size"))), "mix-sources")
-    rows = sized.join(each.select("source_key", "n_blocks", "rest"), "source_key").withColumn("block", block(how)).withColumn("place", _order(how, "doc", "doc_id"))
-
-    # Whole blocks in a permuted order, as far as they stay within the rest.
-    blocks = rows.groupBy("source_key", "block").agg(F.sum("size").alias("words"), F.first("rest").alias("rest"))
-    permuted = Window.partitionBy("source_key").orderBy(_order(how, "source_key", "block"), "block")
-    blocks = blocks.withColumn("upto", F.sum("words").over(permuted.rowsBetween(Window.unboundedPreceding, 0)))
-    state = F.when((F.col("rest") > 0) & (F.col("upto") <= F.col("rest")), 2).when((F.col("rest") > 0) & (F.col("upto") - F.col("words") < F.col("rest")), 1).otherwise(0)
-    blocks = written(blocks.withColumn("state", state), "mix-blocks")
-
-    # Documents of the block that crosses the rest; rows alike come together.
-    crossing = rows.join(blocks.where("state = 1").select("source_key", "block", (F.col("rest") - (F.col("upto") - F.col("words"))).alias("missing")), ["source_key", "block"])
-    some = Window.partitionBy("source_key").orderBy("place", "doc_id", "size")
-    crossing = crossing.withColumn("upto", F.sum("size").over(some.rangeBetween(Window.unboundedPreceding, Window.currentRow)))
-    here = crossing.where("upto <= missing").groupBy("source_key").agg(F.max(F.struct("place", "doc_id", "size")).alias("last"), F.max("upto").alias("got"))
-    gaps = blocks.where("state = 1").select("source_key", F.col("block").alias("cut"), (F.col("rest") - (F.col("upto") - F.col("words"))).alias("missing")).join(here, "source_key", "left")
-    gaps = written(gaps.withColumn("gap", F.col("missing") - F.coalesce("got", F.lit(0))), "mix-cuts")
-
-    # What is still missing is filled from two documents of each power of two of the size, the largest that fits first.
-    left = rows.join(blocks.select("source_key", "block", "state"), ["source_key", "block"]).where("state < 2").join(gaps, "source_key").where(~taken_in_cut())
-    me = F.struct("size", "place", "doc_id", "block")
-    spare = left.where("size > 0 and size < 2 * gap").groupBy("source_key", F.floor(F.log2("size")).alias("class")).agg(F.min(F.struct("place", me.alias("me"))).alias("a"), F.max(F.struct("place", me.alias("me"))).alias("b"), F.first("gap").alias("gap"))
-    spare = spare.select("source_key", "gap", F.explode(F.array_distinct(F.array("a.me", "b.me"))).alias("me")).groupBy("source_key").agg(F.sort_array(F.collect_list("me"), asc=False).alias("spare"), F.first("gap").alias("gap"))
-    none = "slice(spare, 1, 0)"
-    step = "IF(x.size <= s.gap, named_struct('gap', s.gap - x.size, 'took', array_append(s.took, x), 'left', s.left), named_struct('gap', s.gap, 'took', s.took, 'left', array_append(s.left, x)))"
-    nearest = "filter(array(array_min(transform(s.left, x -> named_struct('away', abs(x.size - s.gap), 'x', x)))), y -> y IS NOT NULL AND y.away < s.gap)"
-    fold = f"aggregate(spare, named_struct('gap', gap, 'took', {none}, 'left', {none}), (s, x) -> {step}, s -> concat(s.took, transform({nearest}, y -> y.x)))"
-    more = spare.select("source_key", F.expr(fold).alias("extras"))
-    cuts = gaps.select("source_key", "cut", "last").join(more, "source_key", "left")
-    each = written(each.join(cuts, "source_key", "left"), "mix-plan")
-    return each, written(_dealt(blocks, each, how), "mix-draws")
+    # Rows alike are one unit, since they are drawn alike.
+    units = written(sized.groupBy("source_key", "doc_id", "size").agg(F.count("*").alias("n")), "mix-units")
+    rows = units.join(each.select("source_key", "n_blocks"), "source_key").withColumns(_places(how)).withColumn("words", F.col("size") * F.col("n"))
+    now = _rounds(rows, each)
+
+    # No unit that is left fits; the smallest is taken where that brings the total nearer.
+    left = rows.join(now, "source_key").where(~taken_in_rounds()).where("words > 0 and words < 2 * gap")
+    extra = left.groupBy("source_key").agg(F.min(F.struct("words", "place", "doc_id", "size")).alias("extra"))
+    each = written(each.join(now.select("source_key", "rounds"), "source_key", "left").join(extra, "source_key", "left"), "mix-plan")
+    return each, written(_dealt(rows, each, how), "mix-draws"), written(units.where("n > 1"), "mix-repeated")
+
+
+def _rounds(rows: DataFrame, each: DataFrame) -> DataFrame:
+    """(source_key, gap, rounds) of the sources with a rest: what each round takes, and the words still missing.
+
+    A round takes units in the order of blocks and places up to the first that
+    overshoots: the first round of all units, a later one of those left with at
+    most half of the gap or, where there are none, at most the gap. So the gap
+    halves in each round but the last, after which it is less than any unit
+    left. Blocks are summed first; a window over units has one block a source.
+    """
+    key = f"turn: bigint, block: bigint, place: bigint, doc_id: {rows.schema['doc_id'].dataType.simpleString()}, size: bigint"
+    none = f"cast(array() as array<struct<least: bigint, most: double, last: struct<{key}>>>)"
+    now = written(each.where("rest > 0").select("source_key", F.col("rest").alias("gap"), F.expr(none).alias("rounds")), "mix-round")
+    least, small, fits = 0, F.lit(True), F.lit(True)
+    while True:
+        left = rows.join(now, "source_key").where(~taken_in_rounds() & (F.col("words") >= least))
+        blocks = left.where(fits).groupBy("source_key", "turn", "block").agg(F.sum(F.when(small, F.col("words"))).alias("some"), F.sum("words").alias("every"), F.first("gap").alias("gap"))
+        whole = Window.partitionBy("source_key")
+        halves = F.max("some").over(whole).isNotNull()
+        most = F.when(halves, F.col("gap") / 2).otherwise(F.col("gap")) if least else F.lit(float("inf"))
+        blocks = blocks.withColumn("most", most).withColumn("sum", F.when(halves, F.coalesce("some", F.lit(0))).otherwise(F.col("every")))
+        permuted = Window.partitionBy("source_key").orderBy("turn", "block")
+        blocks = written(blocks.withColumn("before", F.sum("sum").over(permuted) - F.col("sum")), "mix-blocks")
+        if blocks.isEmpty():
+            return now
+        cross = F.min(F.when(F.col("before") + F.col("sum") > F.col("gap"), F.struct("turn", "block", "before")))
+        cuts = written(blocks.groupBy("source_key").agg(F.first("most").alias("most"), F.sum("sum").alias("all"), cross.alias("cut")), "mix-cuts")
+
+        # Units of the block that crosses the gap.
+        crossing = left.join(cuts, "source_key").where((F.col("block") == F.col("cut.block")) & (F.col("words") <= F.col("most")))
+        some = Window.partitionBy("source_key").orderBy("place", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
+        crossing = crossing.withColumn("upto", F.sum("words").over(some) + F.col("cut.before")).where("upto <= gap")
+        here = crossing.groupBy("source_key").agg(F.max(_key_of_unit()).alias("last"), F.max("upto").alias("upto"))
+        upto = F.coalesce(F.when(F.col("cut").isNull(), F.col("all")).otherwise(F.coalesce("upto", "cut.before")), F.lit(0))
+        # Where no unit of the block fits, nulls, which come before any place; where all units fit, no last one.
+        last = F.when(F.col("cut").isNotNull(), F.coalesce("last", F.expr(f"cast(named_struct('turn', cut.turn, 'block', cut.block, 'place', null, 'doc_id', null, 'size', null) as struct<{key}>)")))
+        more = F.when(F.col("most").isNotNull(), F.concat("rounds", F.array(F.struct(F.lit(least).cast("long").alias("least"), "most", last.alias("last"))))).otherwise(F.col("rounds"))
+        now = written(now.join(cuts, "source_key", "left").join(here, "source_key", "left").select("source_key", (F.col("gap") - upto).alias("gap"), more.alias("rounds")), "mix-round")
+        least, small, fits = 1, F.col("words") <= F.col("gap") / 2, F.col("words") <= F.col("gap")
+
+
+def _places(how: Mix) -> dict[str, Column]:
+    at = block(how)
+    return {"block": at, "turn": F.xxhash64(F.lit(how.seed), F.col("source_key"), at), "place": _order(how, "doc", "doc_id")}
+
+
+def _key_of_unit() -> Column:
+    return F.struct("turn", "block", "place", "doc_id", "size")
 
 
 def block(how: Mix) -> Column:
     return F.pmod(F.xxhash64(F.lit(how.seed + 1), F.col("doc_id")), F.col("n_blocks"))
 
 
-def taken_in_cut() -> Column:
-    me = F.struct("place", "doc_id", "size")
-    return F.coalesce((F.col("block") == F.col("cut")) & (me <= F.col("last")), F.lit(False))
+def taken_in_rounds() -> Column:
+    took = lambda r: F.col("words").between(r["least"], r["most"]) & (r["last"].isNull() | (_key_of_unit() <= r["last"]))
+    return F.coalesce(F.exists("rounds", took), F.lit(False))
+
+
+def taken_in_rest() -> Column:
+    extra = F.col("extra").isNotNull() & F.col("extra.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("extra.size") == F.col("size"))
+    return taken_in_rounds() | F.coalesce(extra, F.lit(False))
 
 
-def _dealt(blocks: DataFrame, each: DataFrame, how: Mix) -> DataFrame:
-    """(source_key, block, state, shards): the shard of each draw of the block, the rest's draw last.
+def _dealt(rows: DataFrame, each: DataFrame, how: Mix) -> DataFrame:
+    """(source_key, block, shards): the shard of each draw of the block, the rest's draw last.
 
     A unit is one draw of a block. The tree halves the units of each node; the
     root's window has the units of all sources, whose number `blocks` bounds.
     """
-    drawn = blocks.join(each.select("source_key", "passes", F.coalesce(F.col("extras.block"), F.array().cast("array<bigint>")).alias("extra_blocks")), "source_key")
+    drawn = rows.join(each.select("source_key", "passes", "rounds", "extra"), "source_key").groupBy("source_key", "block").agg(F.first("passes").alias("passes"), F.max(taken_in_rest()).alias("rest"))
     # After the full passes, one more draw of each block that the rest takes anything of.
-    n = F.col("passes") + ((F.col("state") > 0) | F.array_contains("extra_blocks", F.col("block"))).cast("int")
-    units = drawn.withColumn("_n", n).where("_n > 0").select("source_key", "block", "state", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)).alias("pass"))
+    n = F.col("passes") + F.col("rest").cast("int")
+    units = drawn.withColumn("_n", n).where("_n > 0").select("source_key", "block", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)).alias("pass"))
     quota = units.withColumn("node", F.lit(0))
     for level in range(how.levels):
         by_chance = Window.partitionBy("node").orderBy(F.xxhash64(F.lit(how.seed + 2 + level), "source_key", "block", "pass"), "source_key", "block", "pass")
@@ -159,15 +195,16 @@ def _dealt(blocks: DataFrame, each: DataFrame, how: Mix) -> DataFrame:
     places = quota.select("source_key", F.col("node").alias("shard"), F.explode(F.sequence(F.col("first") + 1, F.col("first") + F.col("quota"))).alias("at"))
     permuted = Window.partitionBy("source_key").orderBy(F.xxhash64(F.lit(how.seed + 99), "block", "pass"), "block", "pass")
     drawn = units.withColumn("at", F.row_number().over(permuted).cast("long")).join(places.withColumn("at", F.col("at").cast("long")), ["source_key", "at"])
-    return drawn.groupBy("source_key", "block").agg(F.first("state").alias("state"), F.transform(F.array_sort(F.collect_list(F.struct("pass", "shard"))), lambda x: x["shard"]).alias("shards"))
+    return drawn.groupBy("source_key", "block").agg(F.transform(F.array_sort(F.collect_list(F.struct("pass", "shard"))), lambda x: x["shard"]).alias("shards"))
 
 
-def draws(sized: DataFrame, each: DataFrame, dealt: DataFrame, how: Mix = Mix()) -> DataFrame:
+def draws(sized: DataFrame, each: DataFrame, dealt: DataFrame, repeated: DataFrame, how: Mix = Mix()) -> DataFrame:
     """`sized` with source_size, target and `shards`, an output shard for each time the document is taken."""
-    joined = sized.join(each, "source_key").withColumn("block", block(how)).withColumn("place", _order(how, "doc", "doc_id")).join(dealt, ["source_key", "block"], "left")
-    extra = F.coalesce(F.exists("extras", lambda x: (x["place"] == F.col("place")) & x["doc_id"].eqNullSafe(F.col("doc_id")) & (x["size"] == F.col("size"))), F.lit(False))
-    rest = F.coalesce(F.col("state") == 2, F.lit(False)) | taken_in_cut() | extra
-    times = F.col("passes") + rest.cast("int")
+    joined = sized.join(each, "source_key").withColumns(_places(how)).join(dealt, ["source_key", "block"], "left")
+    again = repeated.select(F.col("source_key").alias("_of"), F.col("doc_id").alias("_doc"), F.col("size").alias("_size"), "n")
+    joined = joined.join(again, (F.col("source_key") == F.col("_of")) & F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("size") == F.col("_size")), "left")
+    joined = joined.withColumn("words", F.col("size") * F.coalesce("n", F.lit(1)))
+    times = F.col("passes") + taken_in_rest().cast("int")
     kept = [c for c in sized.columns]
     return joined.select(*kept, "source_size", "target", F.slice(F.coalesce("shards", F.array().cast("array<int>")), F.lit(1), times).alias("shards"))
 
@@ -179,8 +216,8 @@ def _sized(documents: DataFrame, id_column: str, text_column: str, source_column
 def decide(documents: DataFrame, how: Mix = Mix(), id_column: str = "doc_id", text_column: str = "text", source_column: str = "source") -> DataFrame:
     """doc_id, size, source_size, target, taken and shards of every document."""
     sized = written(_sized(documents, id_column, text_column, source_column), "mix-sizes")
-    each, dealt = plan(sized, how)
-    return draws(sized, each, dealt, how).select("doc_id", "size", "source_size", "target", (F.col("size") * F.size("shards")).alias("taken"), F.array_join(F.transform("shards", lambda s: s.cast("string")), ",").alias("shards"))
+    each, dealt, repeated = plan(sized, how)
+    return draws(sized, each, dealt, repeated, how).select("doc_id", "size", "source_size", "target", (F.col("size") * F.size("shards")).alias("taken"), F.array_join(F.transform("shards", lambda s: s.cast("string")), ",").alias("shards"))
 
 
 def mix(documents: DataFrame, how: Mix = Mix(), id_column: str = "doc_id", text_column: str = "text", source_column: str = "source", place: bool = True) -> DataFrame:
@@ -189,10 +226,10 @@ def mix(documents: DataFrame, how: Mix = Mix(), id_column: str = "doc_id", text_
     To write shards, repartition by mix_shard and sort within by order_key.
     """
     sized = written(_sized(documents, id_column, text_column, source_column), "mix-sizes")
-    each, dealt = plan(sized, how)
+    each, dealt, repeated = plan(sized, how)
     names = documents.columns
     whole = documents.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("_whole"), F.col(id_column).alias("doc_id"), _key(F.col(source_column)).alias("source_key"), word_count(F.col(text_column)).alias("size"))
-    taken = draws(whole, each, dealt, how).select("_whole", F.posexplode("shards").alias("_time", "mix_shard"))
+    taken = draws(whole, each, dealt, repeated, how).select("_whole", F.posexplode("shards").alias("_time", "mix_shard"))
     columns = [F.col("_whole")[c].alias(c) for c in names]
     if place:
         columns += ["mix_shard", F.xxhash64(F.lit(how.seed + 7), F.col("mix_shard"), F.col("_whole")[id_column], F.col("_time")).alias("order_key")]
