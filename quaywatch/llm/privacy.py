@@ -47,12 +47,12 @@ _HELD = 2_000_000
 
 @dataclass(frozen=True)
 class Disclosure:
-    """near: words on either side; alpha: share of an entity's information; support: different texts; letters: shortest term."""
+    """near: words on either side; alpha: share of an entity's information; support: different texts; letters: shortest term, 1 for all."""
 
     near: int = 10
     alpha: float = 0.9
     support: int = 3
-    letters: int = 4
+    letters: int = 1
 
 
 def luhn(digits: str) -> bool:

@@ -171,6 +171,18 @@ def test_disclosing_terms_equal_brute_force(spark):
     assert "TERM" not in privacy.sanitise(texts[0], got[0].spans, remove_terms=True)
 
 
+def _told(spark, beside):
+    """The terms told in three texts with `beside`, an address and a common word, among nine others."""
+    letters = "abcdefghijkl"
+    texts = [f"of {letters[k] * 5} {beside} of {letters[k] * 6}" if k < 3 else f"of {letters[k] * 5}" for k in range(12)]
+    rows = privacy.find(documents(spark, *texts)).orderBy("doc_id").collect()
+    return [[texts[r.doc_id][int(a) : int(b)] for k, a, b in (x.split(":") for x in r.spans.split(",") if x) if k == "term"] for r in rows[:3]]
+
+
+def test_short_terms_disclose(spark):
+    assert _told(spark, "Kim jdoe@lab.org \u738b") == [["Kim", "\u738b"]] * 3
+
+
 # Quality.
 
 
