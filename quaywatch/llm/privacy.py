@@ -9,6 +9,10 @@ with e beside it is at least p(e)^(1-alpha); pairs seen in fewer than `support`
 texts tell nothing and are left. Disclosing terms beside e become spans, and
 `sanitise` generalises them to a class label or removes them.
 
+A term is a whole run of letters, of any length, whatever lies between it and
+the entity. A run that goes on into the entity, as unspaced text does, is told
+as the whole run; its span is the part outside.
+
 Counts cover every document. Nulls and empty texts have no spans. Each input
 row gives one row, repeated rows alike, and counts as a document; a null
 doc_id stays null.
@@ -18,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -96,17 +101,29 @@ def entity(kind: str, value: str) -> str:
     return f"{kind}:{value.lower() if kind in ('email', 'ip') else re.sub('[^0-9]', '', value)}"
 
 
-def beside(text: str, found: list[tuple[str, int, int]], how: Disclosure) -> list[tuple[str, str, int, int]]:
-    """(entity, term, start, end) of the terms within `near` words of an entity and in no base span."""
-    out = []
-    # A word is at most 64 characters here, so a text that is one long run stays linear.
-    reach = how.near * 64
+def beside(text: str, found: list[tuple[str, int, int]], how: Disclosure) -> list[tuple[str, tuple[int, int], int, int]]:
+    """(entity, run, start, end) of the terms within `near` words of an entity and in no base span; a run is a whole word."""
+    out, starts, ends = [], [], []
+    for m in TERM.finditer(text):
+        starts.append(m.start())
+        ends.append(m.end())
+    # The base spans' union, in order.
+    first, last = [], []
+    for s, e in sorted((s, e) for _, s, e in found):
+        if last and s <= last[-1]:
+            last[-1] = max(last[-1], e)
+        else:
+            first.append(s)
+            last.append(e)
     for kind, a, b in found:
-        left = [m for m in TERM.finditer(text, max(0, a - reach), a)][-how.near :]
-        right = [m for _, m in zip(range(how.near), TERM.finditer(text, b, min(len(text), b + reach)))]
-        for m in left + right:
-            if m.end() - m.start() >= how.letters and not any(s < m.end() and m.start() < e for _, s, e in found):
-                out.append((entity(kind, text[a:b]), m[0], m.start(), m.end()))
+        # Runs that begin before the entity, and runs that end after it.
+        i, j = bisect_left(starts, a), bisect_right(ends, b)
+        name = entity(kind, text[a:b])
+        for k in [*range(max(0, i - how.near), i), *range(j, min(len(starts), j + how.near))]:
+            s, e = (starts[k], min(ends[k], a)) if k < i else (max(starts[k], b), ends[k])
+            at = bisect_left(first, e)
+            if ends[k] - starts[k] >= how.letters and not (at and last[at - 1] > s):
+                out.append((name, (starts[k], ends[k]), s, e))
     return out
 
 
@@ -136,9 +153,10 @@ def _scanned(documents: DataFrame, how: Disclosure) -> DataFrame:
                     found = base(text)
                     kinds, joined = [k for k, _, _ in found], _joined(found)
                     terms = beside(text, found, how) if found else []
-                    hashes = _term_hashes([t for _, t, _, _ in terms]).tolist() if terms else []
+                    runs = sorted({r for _, r, _, _ in terms})  # a long one is hashed once
+                    hashes = dict(zip(runs, _term_hashes([text[a:b] for a, b in runs]).tolist())) if terms else {}
                     key = int.from_bytes(hashlib.blake2b(text.encode(), digest_size=8).digest(), "little", signed=True) if found else 0
-                    for col, x in zip(cols, (row, *(kinds.count(k) for k in KINDS[:4]), hashlib.sha256(joined.encode()).hexdigest(), joined, key, [{"entity": e, "term": h, "start": a, "end": b} for (e, _, a, b), h in zip(terms, hashes)])):
+                    for col, x in zip(cols, (row, *(kinds.count(k) for k in KINDS[:4]), hashlib.sha256(joined.encode()).hexdigest(), joined, key, [{"entity": e, "term": hashes[r], "start": a, "end": b} for e, r, a, b in terms])):
                         col.append(x)
                     row += 1
                 ints = [pa.array(c, pa.int64()) for c in cols[:5]]

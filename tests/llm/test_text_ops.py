@@ -183,6 +183,16 @@ def test_short_terms_disclose(spark):
     assert _told(spark, "Kim jdoe@lab.org \u738b") == [["Kim", "\u738b"]] * 3
 
 
+def test_terms_beside_an_entity_are_whole_runs_at_any_distance(spark):
+    run = "\u738b\u5c0f\u660e" * 300
+    assert _told(spark, f"surgeon {'- ' * 500} jdoe@lab.org {'0 ' * 3} {run}") == [["surgeon", run]] * 3
+    assert _told(spark, "\u738b\u5c0fjdoe@lab.org\u660e") == [["\u738b\u5c0f", "\u660e"]] * 3
+    # A run that is cut nowhere; at a distance of eleven words none.
+    assert privacy.beside("xy " + "- " * 400 + "a " * 10 + "1.2.3.4", [("ip", 833, 840)], privacy.Disclosure())[0][1:] == ((803, 804), 803, 804)
+    many = "1.2.3.4 " * 20_000
+    assert len(privacy.beside("\u738b" * 100_000 + " " + many, [("ip", 100_001 + 8 * k, 100_008 + 8 * k) for k in range(20_000)], privacy.Disclosure())) == 20_000
+
+
 # Quality.
 
 
