@@ -5,8 +5,8 @@ Units are lines (or paragraphs, parted by blank lines). A unit is normalised
 ones are skipped. Digests are grouped globally, and the earliest occurrence by
 (doc_id, text digest, unit number) is kept. Later occurrences are repeats.
 Consecutive repeats in a document form a passage; passages of `min_words` words
-or more are removed. So short lines that recur by themselves stay, while a
-repeated passage is found though line breaks part it.
+or more are removed. So short lines that recur by themselves stay, in however
+many documents, while a repeated passage is found though line breaks part it.
 
 A null text has no units. A null doc_id ranks before any other. Rows alike in
 doc_id and text are one document: they get the same decisions, once. Texts are
