@@ -12,7 +12,8 @@ The item index is sent to all tasks in blocks of at most `block` shingles; each
 block scans the documents once, so memory doesn't grow with the benchmark.
 
 An item or text with fewer than five words is one shingle, its whole sequence;
-without words, or null, it matches nothing. Repeated rows of either side count
+without words, or null, it matches nothing. So an item of one to four words
+matches only whole texts; inside a longer document it isn't found. Repeated rows of either side count
 each; null ids stay null. Texts are read whole.
 """
 
