@@ -21,14 +21,24 @@ FROM d JOIN b USING (t) GROUP BY doc_id, item_id HAVING 5 * count(*) >= 4 * any_
 """
 
 REPEATS = rf"""
-WITH lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents),
-placed AS (SELECT doc_id, i, line, sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY i) - length(line) - 1 AS a FROM lines),
-normal AS (SELECT doc_id, i, a, a + length(line) AS b, trim(regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS u FROM placed),
-numbered AS (SELECT doc_id, a, b, u, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS unit FROM normal WHERE u <> ''),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY u ORDER BY doc_id, unit) AS place, first_value(doc_id) OVER (PARTITION BY u ORDER BY doc_id, unit) AS kept FROM numbered),
-runs AS (SELECT *, unit - row_number() OVER (PARTITION BY doc_id ORDER BY unit) AS run FROM ranked WHERE place > 1)
-SELECT doc_id, min(a)::BIGINT AS "start", max(b)::BIGINT AS "end", count(*) AS n_units, sum(len(string_split(u, ' ')))::BIGINT AS n_words, arg_min(kept, unit) AS kept_doc_id
-FROM runs GROUP BY doc_id, run HAVING sum(len(string_split(u, ' '))) >= 50
+WITH docs AS (SELECT doc_id, {_WORDS} AS w, list_transform(regexp_extract_all(text, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+'), lambda x: length(x)) AS long FROM documents),
+placed AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS i FROM docs),
+keyed AS (SELECT *, md5_number_lower(word) AS k FROM placed),
+begun AS (SELECT doc_id, i, word, coalesce(k < min(k) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING), true)
+    AND coalesce(k <= min(k) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 1 FOLLOWING AND 4 FOLLOWING), true) OR i = 0 AS b FROM keyed),
+lined AS (SELECT *, max(CASE WHEN b THEN i END) OVER (PARTITION BY doc_id ORDER BY i) AS begin FROM begun),
+lines AS (SELECT doc_id, min(i) AS f, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS u FROM lined GROUP BY doc_id, begin, (i - begin) // 32),
+numbered AS (SELECT *, row_number() OVER o AS line, coalesce(lag(n) OVER o, 0) AS before, coalesce(lead(n) OVER o, 0) AS after FROM lines WINDOW o AS (PARTITION BY doc_id ORDER BY f)),
+ranked AS (SELECT *, row_number() OVER p AS place, first_value(doc_id) OVER p AS kept, first_value(f) OVER p AS kept_at FROM numbered WINDOW p AS (PARTITION BY u ORDER BY doc_id, line)),
+runs AS (SELECT *, line - row_number() OVER (PARTITION BY doc_id ORDER BY line) AS run FROM ranked WHERE place > 1),
+edges AS (SELECT doc_id, count(*) AS n_lines, sum(n) AS n, min(f) AS a, max(f + n) AS z, arg_min(kept, line) AS ka, arg_min(kept_at, line) AS kat, arg_max(kept, line) AS kz, arg_max(kept_at + n, line) AS kzt
+    FROM runs GROUP BY doc_id, run HAVING sum(n) + arg_min(before, line) + arg_max(after, line) + 8 >= 50),
+grown AS (SELECT e.*, d.w, d.long,
+    coalesce(nullif(list_position(list_transform(range(1, 1 + least(36, a, kat)), lambda j: d.w[a - j + 1] = ka.w[kat - j + 1]), false), 0) - 1, least(36, a, kat)) AS l,
+    coalesce(nullif(list_position(list_transform(range(1, 1 + least(36, len(d.w) - z, len(kz.w) - kzt)), lambda j: d.w[z + j] = kz.w[kzt + j]), false), 0) - 1, least(36, len(d.w) - z, len(kz.w) - kzt)) AS r
+    FROM edges e JOIN docs d USING (doc_id) JOIN docs ka ON ka.doc_id = e.ka JOIN docs kz ON kz.doc_id = e.kz)
+SELECT doc_id, (coalesce(list_sum(long[1:a - l]), 0) + long[a - l + 1] - length(w[a - l + 1]))::BIGINT AS "start", list_sum(long[1:z + r])::BIGINT AS "end", n_lines, (n + l + r)::BIGINT AS n_words, ka AS kept_doc_id
+FROM grown WHERE n + l + r >= 50
 """
 
 NEAR_VECTORS = """

@@ -122,6 +122,14 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, blank: np.ndarray = BLANK
         return mix((total[ends] - total[starts]) * _power(_UNBASE, len(data))[starts] + (ends - starts).astype(np.uint64)), rows
 
 
+def sequence_hashes(hashes: np.ndarray, first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each sequence of n words, from the words' hashes."""
+    with np.errstate(over="ignore"):
+        total = np.zeros(len(hashes) + 1, dtype=np.uint64)
+        np.cumsum(hashes * _power(_BASE, len(hashes)), out=total[1:])
+        return mix((total[first + n] - total[first]) * _power(_UNBASE, len(hashes))[first] + n.astype(np.uint64))
+
+
 def shingles(data: np.ndarray, offsets: np.ndarray, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct shingle hashes sorted by (row, hash), their rows, and the words of each row."""
     hashes, rows = word_hashes(data, offsets)
