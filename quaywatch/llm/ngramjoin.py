@@ -14,10 +14,14 @@ backwards. Candidates are verified by exact intersection.
 2. For what is left, one text a class, frequencies are counted exactly in the
    same way, and give the prefixes.
 3. Sets that share a token of the frequency prefix are chained into candidate
-   components; each is cut into blocks of bounded size, and a pair of blocks is one
-   unit of work: intersect the three filters, then verify. It gives each
-   set's number of links and a spanning forest of the links, never the pairs.
-4. Components of the forests are the result's.
+   components. One with more than a block of sets is dealt into blocks of
+   bounded size by its sets' lengths and rarest shared tokens, and an index
+   from prefix tokens to blocks tells, for each order, which blocks have a token in common.
+   Blocks that do under all three, of lengths that can reach the similarity, meet; others never do.
+4. A pair of blocks, or a block with itself, is one unit of work: intersect the
+   three filters set by set, then verify. It gives each set's number of links
+   and a spanning forest of the links, never the pairs.
+5. Components of the forests are the result's.
 
 A null or empty text, or one without words, links with nothing. Repeated rows
 are documents of one class, linked with each other. Each input row gives one
@@ -45,7 +49,7 @@ from quaywatch.llm.tables import components, partitions, settled, written
 
 @dataclass(frozen=True)
 class Join:
-    """top/bottom: the similarity; run: tokens packed together; block_sets, block_tokens: the most of a block; ranges: hash ranges a partition."""
+    """top/bottom: the similarity; run: tokens packed together; block_sets, block_tokens: the most of a block; ranges: least hash ranges a partition; range_tokens: most tokens of a range."""
 
     top: int = 4
     bottom: int = 5
@@ -53,6 +57,12 @@ class Join:
     block_sets: int = 256
     block_tokens: int = 2_000_000
     ranges: int = 4
+    range_tokens: int = 4_000_000
+
+    def ranged(self, documents: DataFrame) -> int:
+        """How many hash ranges: a task holds one, so their number follows the input. A token takes two characters at least."""
+        characters = documents.agg(F.sum(F.length("text"))).first()[0] or 0
+        return max(self.ranges * partitions(documents.sparkSession), -(-characters // (2 * self.range_tokens)))
 
     def prefix(self, n):
         """Length of the prefix of a set of n tokens."""
@@ -140,9 +150,8 @@ def _emit(rows: list[tuple[int, int, int, bytes]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(rng, pa.int32()), pa.array(run, pa.int64()), pa.array(kind, pa.int32()), pa.array(blob, pa.binary())], ["rng", "run", "kind", "blob"])
 
 
-def _sets(documents: DataFrame, how: Join) -> DataFrame:
+def _sets(documents: DataFrame, how: Join, n_ranges: int) -> DataFrame:
     """(doc_id, text_key, cls, n, others): each document's set, and how many of its tokens another set has."""
-    n_ranges = how.ranges * partitions(documents.sparkSession)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name, run, heads, seen = TaskContext.get().partitionId() << 24, _Run(), [], {}
@@ -218,13 +227,12 @@ def _sets(documents: DataFrame, how: Join) -> DataFrame:
     return counted.groupBy("run").applyInPandas(tell, "doc_id long, text_key long, cls binary, n long, others long")
 
 
-def _prefixes(documents: DataFrame, cores: DataFrame, how: Join) -> DataFrame:
-    """(cls, n, size, tokens, a, b, c): one set a class, and the shared tokens of its three prefixes.
+def _prefixes(documents: DataFrame, cores: DataFrame, how: Join, n_ranges: int) -> DataFrame:
+    """(cls, n, size, tokens, a, b, c, lead): one set a class, the shared tokens of its three prefixes, and the rarest of them.
 
     Sets whose frequency prefix is all their own leave.
     """
     spark = documents.sparkSession
-    n_ranges = how.ranges * partitions(spark)
     texts = documents.join(cores.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "cls", "size"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key"))).select("cls", "size", "text")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -285,39 +293,79 @@ def _prefixes(documents: DataFrame, cores: DataFrame, how: Join) -> DataFrame:
             by_frequency = np.lexsort((mine, often))[:p]
             a, b, c = (mine[k][often[k] >= 2] for k in (np.arange(p), by_frequency, np.arange(n - p, n)))
             if len(a) and len(b) and len(c):
-                out.append((blob[:16], n, struct.unpack("<q", blob[16:24])[0], mine.tobytes(), a.tobytes(), np.sort(b).tobytes(), c.tobytes()))
-        return pd.DataFrame(out, columns=["cls", "n", "size", "tokens", "a", "b", "c"])
+                out.append((blob[:16], n, struct.unpack("<q", blob[16:24])[0], mine.tobytes(), a.tobytes(), np.sort(b).tobytes(), c.tobytes(), int(b[:1].view("<i8")[0])))
+        return pd.DataFrame(out, columns=["cls", "n", "size", "tokens", "a", "b", "c", "lead"])
 
     sets = packed.where("kind = 1").select("run", "blob")
-    return sets.groupBy("run").cogroup(counted.groupBy("run")).applyInPandas(finish, "cls binary, n long, size long, tokens binary, a binary, b binary, c binary")
+    return sets.groupBy("run").cogroup(counted.groupBy("run")).applyInPandas(finish, "cls binary, n long, size long, tokens binary, a binary, b binary, c binary, lead long")
 
 
-def _chained(prefixes: DataFrame) -> DataFrame:
-    """(cls, root): sets that share a token of the frequency prefix, chained."""
+def _posted(sets: DataFrame, orders: str, *keep: str) -> DataFrame:
+    """(order, token, *keep): a row for each token in the named prefixes of each set."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            tokens = [np.frombuffer(b, dtype="<i8") for b in batch.column("b").to_pylist()]
-            owner = np.repeat(np.arange(len(tokens)), [len(t) for t in tokens])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, dtype="<i8"), *tokens])), batch.column("cls").take(pa.array(owner))], ["token", "cls"])
+            for order in orders:
+                tokens = [np.frombuffer(b, dtype="<i8") for b in batch.column(order).to_pylist()]
+                owner = pa.array(np.repeat(np.arange(len(tokens)), [len(t) for t in tokens]))
+                token = np.concatenate([np.zeros(0, dtype="<i8"), *tokens])
+                yield pa.RecordBatch.from_arrays([pa.array([order] * len(token), pa.string()), pa.array(token), *(batch.column(k).take(owner) for k in keep)], ["order", "token", *keep])
 
-    posted = prefixes.select("cls", "b").mapInArrow(each, "token long, cls binary")
+    kinds = dict(sets.dtypes)
+    return sets.select(*keep, *orders).mapInArrow(each, ", ".join(["order string, token long", *(f"{k} {kinds[k]}" for k in keep)]))
+
+
+def _chained(prefixes: DataFrame) -> DataFrame:
+    """(cls, root): sets that share a token of the frequency prefix, chained."""
+    posted = _posted(prefixes, "b", "cls")
     low = posted.groupBy("token").agg(F.min("cls").alias("low"), F.max("cls").alias("high")).where("low <> high").select("token", "low")
     edges = posted.join(low, "token").where("cls <> low").select(F.col("cls").alias("a"), F.col("low").alias("b")).distinct()
     return components(edges).select(F.col("node").alias("cls"), "root")
 
 
+def _blocks(prefixes: DataFrame, chained: DataFrame, how: Join) -> DataFrame:
+    """(cls, block, length, split): blocks are of bounded size; a component of a block's size is one, others are split by length class and rarest token.
+
+    Lengths of similar sets are in the same class or in neighbouring ones.
+    """
+    wide = float(np.log(how.bottom / how.top)) * (1 + 1e-9)
+    seats = prefixes.select("cls", "n", "lead").join(chained, "cls")
+    need = F.ceil(F.greatest(F.count("*") / how.block_sets, F.sum("n") / how.block_tokens)).cast("int")
+    # Tables of their own, so that a large component can be split in the joins.
+    sizes = written(seats.groupBy("root").agg(need.alias("need")), "join-sizes")
+    split = F.col("need") > 1
+    seats = seats.join(sizes, "root").select(
+        "cls", "n", "root", split.alias("split"), F.when(split, F.floor(F.log("n") / wide)).otherwise(0).cast("int").alias("length"), F.when(split, F.pmod(F.xxhash64("lead"), F.col("need"))).otherwise(0).cast("int").alias("bucket")
+    )
+    key = ["root", "length", "bucket"]
+    parts = written(seats.groupBy(*key).agg(need.alias("parts")), "join-parts")
+    seats = seats.join(parts, key)
+    return seats.select("cls", F.xxhash64(*key, F.pmod(F.xxhash64("cls"), F.col("parts"))).alias("block"), "length", "split")
+
+
+def _meeting(prefixes: DataFrame, blocks: DataFrame) -> DataFrame:
+    """(i, j): pairs of different blocks that have a prefix token in common under each of the three orders, and neighbouring lengths."""
+    seat = F.struct("length", "block")
+    posted = _posted(prefixes.join(blocks.where("split"), "cls"), "abc", "length", "block").distinct()
+    lists = posted.groupBy("order", "token").agg(F.sort_array(F.collect_set(seat)).alias("seats")).where("size(seats) > 1")
+    # Tokens of the same blocks tell the same.
+    one = lists.select("order", "seats").distinct().select("order", "seats", F.explode("seats").alias("x"))
+    pairs = one.select("order", "x", F.explode("seats").alias("y")).where("x.block < y.block and abs(x.length - y.length) <= 1").select("order", F.col("x.block").alias("i"), F.col("y.block").alias("j")).distinct()
+    return pairs.groupBy("i", "j").agg(F.count("*").alias("orders")).where("orders = 3").select("i", "j")
+
+
 def _verified(prefixes: DataFrame, chained: DataFrame, how: Join) -> DataFrame:
     """(cls, links, low): of each set and pair of blocks, the documents linked, and a set that it is connected with."""
-    placed = prefixes.join(chained, "cls")
-    sizes = placed.groupBy("root").agg(F.ceil(F.greatest(F.count("*") / how.block_sets, F.sum("n") / how.block_tokens)).cast("int").alias("blocks"))
-    sizes = written(sizes, "join-blocks")
-    placed = placed.join(sizes, "root").withColumn("mine", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
-    spread = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumns({"i": F.least("mine", "other"), "j": F.greatest("mine", "other")}).drop("other", "blocks")
+    blocks = written(_blocks(prefixes, chained, how), "join-blocks")
+    met = written(_meeting(prefixes, blocks), "join-units")
+    own = blocks.select("cls", "block", F.col("block").alias("i"), F.col("block").alias("j"))
+    units = met.select(F.col("i").alias("block"), "i", "j").unionByName(met.select(F.col("j").alias("block"), "i", "j"))
+    seats = own.unionByName(blocks.where("split").select("cls", "block").join(units, "block"))
+    spread = prefixes.drop("lead").join(seats, "cls")
 
     def verify(rows: pa.Table) -> pa.RecordBatch | None:
         i, j = rows["i"][0].as_py(), rows["j"][0].as_py()
-        block = rows["mine"].to_numpy()
+        block = rows["block"].to_numpy()
         left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
         n, size = rows["n"].to_numpy(), rows["size"].to_numpy()
         if not len(left) or not len(right) or len(n) < 2:
@@ -350,19 +398,20 @@ def _verified(prefixes: DataFrame, chained: DataFrame, how: Join) -> DataFrame:
         keys = keys.chunk(0) if isinstance(keys, pa.ChunkedArray) else keys
         return pa.RecordBatch.from_arrays([keys.take(pa.array(some)), pa.array(links[some].astype(np.int64)), keys.take(pa.array(low[some]))], ["cls", "links", "low"])
 
-    return each_group(spread, ["root", "i", "j"], verify, "cls binary, links long, low binary")
+    return each_group(spread, ["i", "j"], verify, "cls binary, links long, low binary")
 
 
 def join(documents: DataFrame, how: Join = Join(), id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(doc_id, text_key, root, n_shingles, n_links, component_id) of each document; root names its group."""
     docs = documents.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"), F.xxhash64(F.coalesce(F.col(text_column), F.lit(""))).alias("text_key"))
     docs = settled(docs, "join-texts")  # runs are named by task, and must be the same in a repeated one
-    sets = written(_sets(docs, how), "join-sets")
+    n_ranges = how.ranged(docs)
+    sets = written(_sets(docs, how, n_ranges), "join-sets")
     classes = sets.where("n > 0").groupBy("cls").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("first"), F.count("*").alias("size"), F.first("n").alias("n"), F.max("others").alias("others"))
     classes = written(classes.select("cls", "first.doc_id", "first.text_key", "size", "n", "others"), "join-classes")
     own = F.col("n") - F.col("others")
     cores = classes.where(own < F.expr(f"n - ({how.top} * n + {how.bottom - 1}) div {how.bottom} + 1"))
-    prefixes = written(_prefixes(docs, cores, how), "join-prefixes")
+    prefixes = written(_prefixes(docs, cores, how, n_ranges), "join-prefixes")
     links = written(_verified(prefixes, _chained(prefixes), how), "join-links")
     found = components(links.where("cls <> low").select(F.col("cls").alias("a"), F.col("low").alias("b")))
     counts = links.groupBy("cls").agg(F.sum("links").alias("links"))
