@@ -316,3 +316,38 @@ def test_pipeline_equals_brute_force(spark, sf_dir):
     assert all(abs(taken.get(s, 0) - want[s]) <= max(0.05 * want[s], big[s] / 2) for s in sums)
     assert steps[5].count() == steps[4].count()
     assert sorted(map(str, corpus_pipeline.run(spark, sf_dir).collect())) == sorted(map(str, steps[5].collect()))
+
+
+def test_blocks_meet_only_over_shared_prefix_tokens(spark):
+    """A chain of sets, each sharing prefix tokens with the next few, is one component; its blocks meet their neighbours, not all others. Ranges follow the input."""
+    import struct
+
+    pack = lambda tokens: struct.pack(f"<{len(tokens)}q", *tokens)
+    n = 600
+    rows = [(struct.pack(">QQ", 0, k), 40 + k // 200, pack([k, k + 1]), pack([k, k + 1]), pack([k, k + 1]) if k % 2 else pack([k + 5000]), k) for k in range(n)]
+    prefixes = spark.createDataFrame(rows, "cls binary, n long, a binary, b binary, c binary, lead long")
+    how = ngramjoin.Join(block_sets=8)
+    blocks = ngramjoin._blocks(prefixes, prefixes.select("cls", F.lit(b"root").alias("root")), how).cache()
+    assert blocks.where("not split").count() == 0 and blocks.groupBy("block").count().agg(F.max("count")).first()[0] <= 16
+    at = {r.cls: (r.block, r.length) for r in blocks.collect()}
+    want = set()
+    for k in range(n - 1):
+        (x, lx), (y, ly) = at[rows[k][0]], at[rows[k + 1][0]]
+        if x != y and abs(lx - ly) <= 1:
+            want.add((min(x, y), max(x, y)))
+    # Under the third order only odd sets have the chain's tokens, k and k + 1, which no two of them share.
+    got = {(r.i, r.j) for r in ngramjoin._meeting(prefixes, blocks).collect()}
+    assert got == set()
+    both = prefixes.withColumn("c", F.col("a"))
+    got = {(r.i, r.j) for r in ngramjoin._meeting(both, blocks).collect()}
+    assert got == want and len(got) < n
+    texts = documents(spark, *["x" * 1000] * 10)
+    assert ngramjoin.Join(range_tokens=10).ranged(texts) == 500 and ngramjoin.Join().ranged(texts) == 4 * tables.partitions(spark)
+
+
+def test_equal_vectors_are_searched_for_once(spark):
+    """Ten thousand equal vectors are one class in one unit; counts are whole."""
+    df = spark.range(10_000).select(F.col("id").alias("vec_id"), F.array(F.lit(1.0), F.when(F.col("id") < 3, 0.001 * F.col("id")).otherwise(0.0)).alias("embedding"), F.lit(1).alias("label"))
+    how = collisions.Search(block=16)
+    got = collisions.near_duplicates(df, how).groupBy("n_links", "component_id").count().collect()
+    assert [tuple(r) for r in got] == [(9999, 0, 10_000)]
