@@ -1,23 +1,33 @@
 """Tables in folders: overwrite, append, upsert, compaction, versions and the run manifest.
 
-A table is a folder of Parquet partitions beside `_versions`, a folder with a
-file for each commit. Everything goes through Hadoop's file systems, so a table can
-be in any store that Spark reaches.
+A table is a folder of Parquet partitions. Beside it, so that nothing that
+replaces the folder takes them along, lie `<path>.versions`, with a file for each
+commit, and `<path>.old`, with what commits have replaced, until `vacuum`.
+
+Rows are replaced by moves: new folders are written whole beside the table, then
+a plan of the moves is put down, and only then do folders change places. What a
+crash leaves is brought to its end by the next `read` or write. A reader that
+listed files before a move should read again. Everything goes through Hadoop's
+file systems, so a table can be in any store that Spark reaches.
 """
 
 from __future__ import annotations
 
 import json
 import logging
+import time
 import uuid
 from datetime import datetime, timezone
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 log = logging.getLogger(__name__)
 
+_INFERS = "spark.sql.sources.partitionColumnTypeInference.enabled"
+
 
 def _fs(spark: SparkSession, path: str):
     there = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -33,32 +43,99 @@ def has_table(spark: SparkSession, path: str) -> bool:
     return version(spark, path) > 0
 
 
+def _names(spark: SparkSession, path: str) -> list[str]:
+    fs, there = _fs(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(there)) if fs.exists(there) else []
+
+
+def _delete(spark: SparkSession, path: str) -> bool:
+    fs, there = _fs(spark, path)
+    return bool(fs.delete(there, True))
+
+
+def _move(spark: SparkSession, from_: str, to: str) -> None:
+    fs, there = _fs(spark, from_)
+    _, target = _fs(spark, to)
+    fs.mkdirs(target.getParent())
+    if not fs.rename(there, target):
+        raise OSError(f"{from_} can't become {to}")
+
+
 def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """A new file; an error where there is one."""
     fs, there = _fs(spark, path)
     out = fs.create(there, False)
     out.write(bytearray(text.encode()))
     out.close()
 
 
+def _text(spark: SparkSession, path: str) -> str:
+    fs, there = _fs(spark, path)
+    source = fs.open(there)
+    try:
+        return bytes(source.readAllBytes()).decode()
+    finally:
+        source.close()
+
+
 def version(spark: SparkSession, path: str) -> int:
-    """Commits so far; 0 where there is no table."""
-    fs, there = _fs(spark, f"{path}/_versions")
-    return len(fs.listStatus(there)) if fs.exists(there) else 0
+    """The last commit's number; 0 where there is no table."""
+    return max((int(n.removesuffix(".json")) for n in _names(spark, f"{path}.versions") if n.endswith(".json")), default=0)
 
 
 def _commit(spark: SparkSession, path: str, what: str) -> int:
+    """The commit's number; of two writers that take the same, the later takes the next."""
     n = version(spark, path) + 1
-    put_text(spark, f"{path}/_versions/{n:08d}.json", json.dumps({"version": n, "operation": what}))
+    while True:
+        try:
+            put_text(spark, f"{path}.versions/{n:08d}.json", json.dumps({"version": n, "operation": what}))
+            return n
+        except Py4JJavaError as e:
+            if "FileAlreadyExists" not in str(e.java_exception):
+                raise
+            n += 1
+
+
+def _replace(spark: SparkSession, path: str, staged: str, folders: list[str], what: str) -> int:
+    """The staged folders take the places of the table's, "" being the whole; the plan of it outlives a crash."""
+    put_text(spark, f"{path}.versions/plan", json.dumps({"staged": staged, "old": f"{path}.old/{uuid.uuid4().hex}", "folders": folders, "operation": what}))
+    return recover(spark, path)
+
+
+def recover(spark: SparkSession, path: str) -> int:
+    """Carries out what is left of a plan, if there is one; the table's version."""
+    plan = f"{path}.versions/plan"
+    if not exists(spark, plan):
+        return version(spark, path)
+    todo = json.loads(_text(spark, plan))
+    for folder in todo["folders"]:
+        at = lambda top: f"{top}/{folder}" if folder else top
+        if exists(spark, at(todo["staged"])):  # else it has its place already
+            if exists(spark, at(path)):
+                _move(spark, at(path), at(todo["old"]))
+            _move(spark, at(todo["staged"]), at(path))
+    n = _commit(spark, path, todo["operation"])
+    _delete(spark, plan)
+    _delete(spark, todo["staged"])
     return n
 
 
+def _load(reader, spark: SparkSession, *paths: str) -> DataFrame:
+    """Partition values stay text; the session's setting is put back once they have been found."""
+    before = spark.conf.get(_INFERS, None)
+    spark.conf.set(_INFERS, "false")
+    try:
+        return reader.parquet(*paths)
+    finally:
+        spark.conf.set(_INFERS, before) if before is not None else spark.conf.unset(_INFERS)
+
+
 def read(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """The table; partition values stay text. An absent table is empty if a schema says of what."""
-    if schema is not None and not has_table(spark, path):
+    recover(spark, path)
+    if schema is not None and not has_table(spark, path) and not exists(spark, path):
         return spark.createDataFrame([], schema)
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
-    return reader.parquet(path)
+    return _load(spark.read if schema is None else spark.read.schema(schema), spark, path)
 
 
 def typed(df: DataFrame, hints: dict[str, str] | None = None) -> DataFrame:
@@ -67,22 +144,26 @@ def typed(df: DataFrame, hints: dict[str, str] | None = None) -> DataFrame:
     return df.select(*(F.col(f"`{f.name}`").cast(hints.get(f.name, "string")).alias(f.name) if isinstance(f.dataType, T.NullType) else F.col(f"`{f.name}`") for f in df.schema))
 
 
+def _stage(df: DataFrame, path: str, partition_by: list[str] | None) -> str:
+    staged = f"{path}-staged-{uuid.uuid4().hex}"
+    parts = df.write
+    (parts.partitionBy(*partition_by) if partition_by else parts).parquet(staged)
+    return staged
+
+
 def overwrite(df: DataFrame, path: str, partition_by: list[str] | None = None, keep_if_empty: bool = True) -> int:
     """The table becomes `df`, stale partitions included; an empty input is reported and changes nothing. The new version, or 0."""
     spark = df.sparkSession
     if keep_if_empty and df.isEmpty():
         log.warning("nothing to write to %s", path)
         return 0
-    before = version(spark, path)
-    parts = typed(df).write.mode("overwrite")
-    (parts.partitionBy(*partition_by) if partition_by else parts).parquet(path)
-    for n in range(1, before + 1):  # the overwrite took the old folder with it
-        put_text(spark, f"{path}/_versions/{n:08d}.json", json.dumps({"version": n, "operation": "overwritten"}))
-    return _commit(spark, path, "overwrite")
+    recover(spark, path)
+    return _replace(spark, path, _stage(typed(df), path, partition_by), [""], "overwrite")
 
 
 def append(df: DataFrame, path: str, partition_by: list[str] | None = None, hints: dict[str, str] | None = None) -> int:
     """Rows are added as files; readers take the newest of a key (`staging.dedupe_on_read`)."""
+    recover(df.sparkSession, path)
     parts = typed(df, hints).write.mode("append")
     (parts.partitionBy(*partition_by) if partition_by else parts).parquet(path)
     return _commit(df.sparkSession, path, "append")
@@ -92,9 +173,10 @@ def upsert(batch: DataFrame, path: str, keys: list[str], partition_by: list[str]
     """Rows of known keys are replaced, others added; only partitions that the batch touches are read and rewritten.
 
     Partition columns are part of a key. Of a key's rows in one batch, one stays.
-    The new partitions are staged whole before the old ones go. An empty batch changes nothing.
+    An empty batch changes nothing.
     """
     spark, batch = batch.sparkSession, typed(batch, hints)
+    recover(spark, path)
     batch = batch.dropDuplicates(keys).persist()
     try:
         return _upsert(spark, batch, path, keys, partition_by)
@@ -105,61 +187,84 @@ def upsert(batch: DataFrame, path: str, keys: list[str], partition_by: list[str]
 def _upsert(spark: SparkSession, batch: DataFrame, path: str, keys: list[str], partition_by: list[str]) -> int:
     if batch.isEmpty():
         return version(spark, path)
-    if not has_table(spark, path):
-        batch.write.mode("append").partitionBy(*partition_by).parquet(path)
-        return _commit(spark, path, "upsert")
+    if not has_table(spark, path) and not exists(spark, path):
+        return _replace(spark, path, _stage(batch, path, partition_by), [""], "upsert")
     held = read(spark, path)
     touched = batch.select(*partition_by).distinct()
     kept = held.join(touched, partition_by, "left_semi").join(batch.select(*keys), keys, "left_anti")
-    merged = kept.select(*batch.columns).unionByName(batch)
-    staged = f"{path}-staged-{uuid.uuid4().hex}"
-    merged.write.partitionBy(*partition_by).parquet(staged)
-    again = read(spark, staged).select(*(F.col(f.name).cast(f.dataType) for f in merged.schema))
-    again.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
-    fs, there = _fs(spark, staged)
-    fs.delete(there, True)
-    return _commit(spark, path, "upsert")
+    staged = _stage(kept.select(*batch.columns).unionByName(batch), path, partition_by)
+    return _replace(spark, path, staged, sorted({f for f, _, _ in _files(spark, staged)}), "upsert")
 
 
-def files(spark: SparkSession, path: str) -> list[tuple[str, int]]:
-    """Data files below the path, and their bytes."""
+def _files(spark: SparkSession, path: str) -> list[tuple[str, str, int]]:
+    """Folder below the path, name and bytes of each data file."""
     fs, there = _fs(spark, path)
-    out = []
+    top, out = fs.makeQualified(there).toUri().getPath(), []
     it = fs.listFiles(there, True)
     while it.hasNext():
         f = it.next()
-        if f.getPath().getName().startswith("part-") and not f.getPath().getName().endswith(".crc"):
-            out.append((f.getPath().toString(), f.getLen()))
+        name = f.getPath().getName()
+        if name.startswith("part-") and not name.endswith(".crc"):
+            out.append((f.getPath().getParent().toUri().getPath().removeprefix(top).strip("/"), name, f.getLen()))
     return out
 
 
+def files(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """Data files below the path, and their bytes."""
+    return [(f"{path}/{folder}/{name}" if folder else f"{path}/{name}", size) for folder, name, size in _files(spark, path)]
+
+
 def compact(spark: SparkSession, path: str, partition_by: list[str], target_bytes: int = 128 << 20) -> tuple[int, int]:
-    """Small files of each partition become files of about target_bytes; counts before and after. Rows stay the same."""
-    before = files(spark, path)
-    n = max(1, sum(size for _, size in before) // target_bytes)
-    rows = read(spark, path)
-    staged = f"{path}-staged-{uuid.uuid4().hex}"
-    # Partitions of a file's size or less come whole to a task; larger ones are split by a salt.
-    salt = (F.rand(7) * n).cast("int") if n > 1 else F.lit(0)
-    rows.withColumn("_salt", salt).repartition(*partition_by, "_salt").drop("_salt").write.partitionBy(*partition_by).parquet(staged)
-    again = read(spark, staged).select(*(F.col(f.name).cast(f.dataType) for f in rows.schema))
-    again.repartition(*partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
-    fs, there = _fs(spark, staged)
-    fs.delete(there, True)
-    _commit(spark, path, "compact")
-    after = files(spark, path)
-    log.info("%s: %d files became %d", path, len(before), len(after))
-    return len(before), len(after)
-
-
-def vacuum(spark: SparkSession, path: str) -> int:
-    """Leftover staging folders and temporary files beside and in the table go; how many."""
+    """Partitions with more files than their bytes need are rewritten as files of about target_bytes; files before and after.
+
+    Rows stay the same; other partitions aren't read. An absent table has no files.
+    """
+    recover(spark, path)
+    if not exists(spark, path):
+        return 0, 0
+    found: dict[str, list[int]] = {}
+    for folder, _, size in _files(spark, path):
+        found.setdefault(folder, []).append(size)
+    before = sum(map(len, found.values()))
+    want = {f: max(1, round(sum(sizes) / target_bytes)) for f, sizes in found.items()}
+    small = sorted(f for f, sizes in found.items() if len(sizes) > want[f])
+    if not small:
+        return before, before
+    rows = _load(spark.read.option("basePath", path), spark, *(f"{path}/{f}" if f else path for f in small))
+    # Each of a partition's shares goes to one task and is a file of its own, in a folder `_share=k` that its file then leaves.
+    escaped = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    values = {f: [escaped.unescapePathName(p.partition("=")[2]) for p in f.split("/") if p] for f in small}
+    nothing = escaped.DEFAULT_PARTITION_NAME()
+    shares = spark.createDataFrame([(*(None if v == nothing else v for v in values[f]), want[f]) for f in small], ", ".join([*(f"`_k{k}` string" for k in range(len(partition_by))), "_shares int"]))
+    match = F.lit(True)
+    for k, name in enumerate(partition_by):
+        match = match & F.col(f"`{name}`").cast("string").eqNullSafe(F.col(f"_k{k}"))
+    dealt = rows.join(shares, match, "left") if partition_by else rows.withColumn("_shares", F.lit(want[""]))
+    dealt = dealt.withColumn("_share", F.floor(F.rand(7) * F.coalesce("_shares", F.lit(1))).cast("int")).select(*rows.columns, "_share")
+    staged = _stage(dealt.repartition(*partition_by, "_share"), path, [*partition_by, "_share"])
+    for folder, name, _ in _files(spark, staged):
+        home, _, share = folder.rpartition("_share=")
+        _move(spark, f"{staged}/{folder}/{name}", f"{staged}/{home}part-{share}-{name.removeprefix('part-')}")
+        _delete(spark, f"{staged}/{folder}")
+    _replace(spark, path, staged, small, "compact")
+    after = len(_files(spark, path))
+    log.info("%s: %d files became %d", path, before, after)
+    return before, after
+
+
+def vacuum(spark: SparkSession, path: str, retain_hours: float = 0) -> int:
+    """Replaced folders older than retain_hours go, and so do leftover staging folders and temporary files; how many."""
+    recover(spark, path)
     fs, there = _fs(spark, path)
-    gone = 0
+    gone, oldest = 0, (time.time() - retain_hours * 3600) * 1000
+    _, old = _fs(spark, f"{path}.old")
+    for s in fs.listStatus(old) if fs.exists(old) else []:
+        if s.getModificationTime() <= oldest:
+            gone += bool(fs.delete(s.getPath(), True))
     for s in fs.listStatus(there.getParent()):
         if s.getPath().getName().startswith(f"{there.getName()}-staged-"):
             gone += bool(fs.delete(s.getPath(), True))
-    for s in fs.listStatus(there):
+    for s in fs.listStatus(there) if fs.exists(there) else []:
         if s.getPath().getName().startswith((".spark-staging", "_temporary")):
             gone += bool(fs.delete(s.getPath(), True))
     return gone

@@ -128,6 +128,11 @@ def out_of_domain(contract: Contract) -> Column:
     return test
 
 
+def refuse(df: DataFrame, fault: Column) -> DataFrame:
+    """The rows; reading one with a fault fails."""
+    return df.withColumn("_fault", F.when(fault, F.raise_error(F.lit("a value is out of its domain"))).cast("string")).where("_fault is null").drop("_fault")
+
+
 def require_domain(df: DataFrame, contract: Contract) -> DataFrame:
     """The rows; reading one that is out of its domain fails, as writing it would."""
-    return df.withColumn("_fault", F.when(out_of_domain(contract), F.raise_error(F.lit("a value is out of its domain"))).cast("string")).where("_fault is null").drop("_fault")
+    return refuse(df, out_of_domain(contract))

@@ -95,10 +95,17 @@ def timeline(players: DataFrame, markers: DataFrame) -> DataFrame:
 
 
 def publish(players: DataFrame, path: str, n: int = 6) -> None:
-    """Player records as JSON lines, in n files by session; a record is version 2 where it has network_type.
+    """Player records as JSON lines, in n files by session; a record is version 2 where it has network_type, else version 1, without its fields.
 
-    Values out of their domains end the write.
+    Values out of their version's domains end the write.
     """
-    versions = contracts.CONTRACTS["player_events"]
-    checked = contracts.require_domain(players, versions[-1 if "network_type" in players.columns else 0])
+    old, new = contracts.CONTRACTS["player_events"]
+    if "network_type" not in players.columns:
+        checked = contracts.require_domain(players, old)
+    else:
+        newer = F.col("network_type").isNotNull()
+        fault = F.when(newer, contracts.out_of_domain(new)).otherwise(contracts.out_of_domain(old))
+        checked = contracts.refuse(players, fault)
+        if "schema_version" in players.columns:
+            checked = checked.withColumn("schema_version", F.when(newer, F.col("schema_version")))
     checked.repartition(n, "session_id").write.option("ignoreNullFields", "true").json(path)

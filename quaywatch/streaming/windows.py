@@ -42,15 +42,16 @@ def tagged(rows: DataFrame, markers: DataFrame, size_s: int = 60) -> DataFrame:
 
 
 def to_table(rows: DataFrame, path: str, checkpoint: str, partition_by: str = "window_bucket", trigger: dict | None = None, markers=None, size_s: int = 60) -> StreamingQuery:
-    """Append to a table. markers: a function that reads the marker table; it's called for each batch, so markers that arrive later count from then on."""
-    how = trigger or {"availableNow": True}
-    if markers is None:
-        return rows.withColumn("processed_at", F.current_timestamp()).writeStream.format("parquet").outputMode("append").partitionBy(partition_by).option("checkpointLocation", checkpoint).trigger(**how).start(path)
+    """Append to a table that `sinks.compact` can rewrite; a batch that is run again adds copies, which `staging.dedupe_on_read` leaves out.
+
+    markers: a function that reads the marker table; it's called for each batch, so markers that arrive later count from then on.
+    """
 
     def batch(df: DataFrame, _: int) -> None:
-        tagged(df, markers(), size_s).write.mode("append").partitionBy(partition_by).parquet(path)
+        out = df.withColumn("processed_at", F.current_timestamp()) if markers is None else tagged(df, markers(), size_s)
+        out.write.mode("append").partitionBy(partition_by).parquet(path)
 
-    return rows.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(**how).start()
+    return rows.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
 
 def upsert_to_table(rows: DataFrame, path: str, checkpoint: str, keys: tuple[str, ...] = ("session_id", "window_start", "window_bucket"), trigger: dict | None = None) -> StreamingQuery:
