@@ -48,17 +48,20 @@ def _names(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(there)) if fs.exists(there) else []
 
 
-def _delete(spark: SparkSession, path: str) -> bool:
+def remove(spark: SparkSession, path: str) -> bool:
     fs, there = _fs(spark, path)
     return bool(fs.delete(there, True))
 
 
-def _move(spark: SparkSession, from_: str, to: str) -> None:
+def move(spark: SparkSession, from_: str, to: str, at: int | None = None) -> None:
+    """at: the file counts as written that many milliseconds from now, for readers that go by time."""
     fs, there = _fs(spark, from_)
     _, target = _fs(spark, to)
     fs.mkdirs(target.getParent())
     if not fs.rename(there, target):
         raise OSError(f"{from_} can't become {to}")
+    if at is not None:
+        fs.setTimes(target, int(time.time() * 1000) + at, -1)
 
 
 def put_text(spark: SparkSession, path: str, text: str) -> None:
@@ -112,11 +115,11 @@ def recover(spark: SparkSession, path: str) -> int:
         at = lambda top: f"{top}/{folder}" if folder else top
         if exists(spark, at(todo["staged"])):  # else it has its place already
             if exists(spark, at(path)):
-                _move(spark, at(path), at(todo["old"]))
-            _move(spark, at(todo["staged"]), at(path))
+                move(spark, at(path), at(todo["old"]))
+            move(spark, at(todo["staged"]), at(path))
     n = _commit(spark, path, todo["operation"])
-    _delete(spark, plan)
-    _delete(spark, todo["staged"])
+    remove(spark, plan)
+    remove(spark, todo["staged"])
     return n
 
 
@@ -193,10 +196,10 @@ def _upsert(spark: SparkSession, batch: DataFrame, path: str, keys: list[str], p
     touched = batch.select(*partition_by).distinct()
     kept = held.join(touched, partition_by, "left_semi").join(batch.select(*keys), keys, "left_anti")
     staged = _stage(kept.select(*batch.columns).unionByName(batch), path, partition_by)
-    return _replace(spark, path, staged, sorted({f for f, _, _ in _files(spark, staged)}), "upsert")
+    return _replace(spark, path, staged, sorted({f for f, _, _ in listed(spark, staged)}), "upsert")
 
 
-def _files(spark: SparkSession, path: str) -> list[tuple[str, str, int]]:
+def listed(spark: SparkSession, path: str) -> list[tuple[str, str, int]]:
     """Folder below the path, name and bytes of each data file."""
     fs, there = _fs(spark, path)
     top, out = fs.makeQualified(there).toUri().getPath(), []
@@ -211,7 +214,7 @@ def _files(spark: SparkSession, path: str) -> list[tuple[str, str, int]]:
 
 def files(spark: SparkSession, path: str) -> list[tuple[str, int]]:
     """Data files below the path, and their bytes."""
-    return [(f"{path}/{folder}/{name}" if folder else f"{path}/{name}", size) for folder, name, size in _files(spark, path)]
+    return [(f"{path}/{folder}/{name}" if folder else f"{path}/{name}", size) for folder, name, size in listed(spark, path)]
 
 
 def compact(spark: SparkSession, path: str, partition_by: list[str], target_bytes: int = 128 << 20) -> tuple[int, int]:
@@ -223,7 +226,7 @@ def compact(spark: SparkSession, path: str, partition_by: list[str], target_byte
     if not exists(spark, path):
         return 0, 0
     found: dict[str, list[int]] = {}
-    for folder, _, size in _files(spark, path):
+    for folder, _, size in listed(spark, path):
         found.setdefault(folder, []).append(size)
     before = sum(map(len, found.values()))
     want = {f: max(1, round(sum(sizes) / target_bytes)) for f, sizes in found.items()}
@@ -242,12 +245,12 @@ def compact(spark: SparkSession, path: str, partition_by: list[str], target_byte
     dealt = rows.join(shares, match, "left") if partition_by else rows.withColumn("_shares", F.lit(want[""]))
     dealt = dealt.withColumn("_share", F.floor(F.rand(7) * F.coalesce("_shares", F.lit(1))).cast("int")).select(*rows.columns, "_share")
     staged = _stage(dealt.repartition(*partition_by, "_share"), path, [*partition_by, "_share"])
-    for folder, name, _ in _files(spark, staged):
+    for folder, name, _ in listed(spark, staged):
         home, _, share = folder.rpartition("_share=")
-        _move(spark, f"{staged}/{folder}/{name}", f"{staged}/{home}part-{share}-{name.removeprefix('part-')}")
-        _delete(spark, f"{staged}/{folder}")
+        move(spark, f"{staged}/{folder}/{name}", f"{staged}/{home}part-{share}-{name.removeprefix('part-')}")
+        remove(spark, f"{staged}/{folder}")
     _replace(spark, path, staged, small, "compact")
-    after = len(_files(spark, path))
+    after = len(listed(spark, path))
     log.info("%s: %d files became %d", path, before, after)
     return before, after
 

@@ -31,8 +31,8 @@ ev AS (SELECT * EXCLUDE (network_type), coalesce(network_type, 'unknown') AS net
 
 CONTENT = """
 versions AS (
-    SELECT 'c' || p_partkey AS content_id, p_name AS title, p_type AS genre, p_size > 25 AS is_premium, '2023-12-01' AS updated_at FROM part WHERE p_partkey < 20
-    UNION ALL SELECT 'c' || p_partkey, p_name || ' (rev)', p_type, p_size > 25, '2023-12-15' FROM part WHERE p_partkey < 20 AND p_partkey % 2 = 0),
+    SELECT 'c' || p_partkey AS content_id, p_name AS title, p_type AS genre, p_size > 25 AS is_premium, '2023-12-01' AS updated_at FROM part
+    UNION ALL SELECT 'c' || p_partkey, p_name || ' (rev)', p_type, p_size > 25, '2023-12-15' FROM part WHERE p_partkey % 2 = 0),
 content AS (SELECT * FROM versions QUALIFY row_number() OVER (PARTITION BY content_id ORDER BY updated_at DESC) = 1)"""
 
 MARKERS = """
@@ -156,12 +156,65 @@ _RATIO = "coalesce(sum(rebuffer_ms)::DOUBLE / nullif(sum(rebuffer_ms + watch_ms)
 _EVERY = f"{IMPACT}, viewers AS (SELECT window_start, window_hour, geo_region, device_type, cdn, count(DISTINCT session_id) AS ccv FROM mart GROUP BY ALL), creative AS {CREATIVES.split('creative AS ', 1)[1]}"
 
 
-def oracle_sql() -> dict[str, str]:
+_SLICE = "epoch_ms({}) // 300000"
+_STREAMED = f"{PLAYER}, batches AS (SELECT *, {_SLICE.format('_ingested_at')} AS batch FROM player), latest AS (SELECT batch, max(event_time) AS latest FROM batches GROUP BY 1), earlier AS (SELECT batch, max(latest) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM latest)"
+_TAGGED = f"""{SPEED}, {MARKERS},
+            tagged AS (SELECT session_id, window_start, marker_id, break_type, event_id_scte, row_number() OVER (PARTITION BY session_id, window_start ORDER BY starts, marker_id) AS n
+                FROM speed LEFT JOIN breaks ON window_start BETWEEN starts - INTERVAL 5 SECOND AND ends + INTERVAL 5 SECOND)
+            SELECT session_id, window_start, marker_id, break_type, event_id_scte::BIGINT AS scte_event_id FROM tagged WHERE n = 1"""
+_COUNTS = (("session_window_qoe", "mart"), ("ccv", "viewers"), ("ad_impact", "impact"), ("ad_creatives", "creatives"))
+
+
+def _errors(budget: str) -> str:
+    return f"WITH {SPEED},{_burn('error_count', 'events').replace('/ 0.01', f'/ {budget}')},{_latch('minute')} SELECT * FROM transitions"
+
+
+def flow_sql() -> dict[str, str]:
+    """What landing, tables, contracts and streams give, from the rules of their input."""
     return {
+        "flatten_player": f"WITH {PLAYER} SELECT * FROM player",
+        "flatten_markers": f"""WITH {MARKERS} SELECT marker_id, 'ch' AS channel, 'splice_insert' AS splice_command, event_id_scte, true AS out_of_network, ((event_id_scte - 1000) * 90000)::BIGINT AS pts_time, starts AS wallclock, duration_s, break_type,
+            TIMESTAMP '2024-01-01' AS _ingested_at, 0 AS _kafka_partition, (event_id_scte - 1000)::BIGINT AS _kafka_offset FROM markers""",
+        "flatten_content": f"WITH {CONTENT} SELECT content_id, title, genre, is_premium, updated_at, NULL::VARCHAR AS language, substr(content_id, 2)::BIGINT AS _kafka_offset FROM versions",
+        "decode_loose": f"WITH {PLAYER} SELECT session_id, count(*) AS events FROM player WHERE _kafka_offset % 50 <> 0 GROUP BY 1",
+        "publish_and_read": f"WITH {PLAYER} SELECT event_id, strftime(event_time, '%Y-%m-%dT%H:%M:%S.%gZ') AS timestamp, schema_version, network_type, count(*) AS copies FROM player GROUP BY ALL",
+        "ad_feed": f"WITH {ADS} SELECT 'there' AS feed, count(*) AS decisions, sum(cents)::BIGINT / 100 AS cpm, 0::BIGINT AS served FROM ads UNION ALL SELECT 'absent', 0, NULL, 0",
+        "replay_slices": f"""WITH {PLAYER}, {MARKERS} SELECT 'player_events' AS topic, (epoch_ms(event_time) // 300000)::BIGINT AS slice, count(*) AS messages, true AS in_order FROM player GROUP BY ALL
+            UNION ALL SELECT 'scte35_markers', (epoch_ms(starts) // 300000)::BIGINT, count(*), true FROM markers GROUP BY ALL""",
+        "read_as_versions": f"WITH {PLAYER} SELECT 'v2 reads v1' AS reader, 'unknown' AS network_type, 'v1' AS schema_version, count(*) AS records FROM player UNION ALL SELECT 'v1 reads v2', NULL, NULL, count(*) FROM player",
+        "out_of_domain": f"""WITH {PLAYER}, odd AS (SELECT CASE WHEN _kafka_offset % 40 = 0 THEN 'odd' ELSE event_type END AS event_type, CASE WHEN _kafka_offset % 30 = 0 THEN 'pigeon' ELSE network_type END AS network_type FROM player)
+            SELECT event_type, network_type, count(*) AS refused FROM odd WHERE event_type = 'odd' OR network_type = 'pigeon' GROUP BY ALL""",
+        "registered_contracts": """SELECT * FROM (VALUES ('player_events-value', 2, NULL), ('scte35_markers-value', 1, NULL), ('content_metadata-value', 1, NULL), ('a field without a default', 0, 'must'), ('another type', 0, 'bitrate_kbps'), ('a narrower domain', 0, 'event_type')) AS t(subject, version, fault)""",
+        "bronze_overwrite": f"WITH {PLAYER} SELECT strftime(event_time, '%Y-%m-%dT%H-%M') AS part, count(*) AS events, 2 AS version FROM player WHERE session_id <> 's1' AND minute(event_time) < 10 GROUP BY 1",
+        "upsert_windows": f"""WITH {SPEED}, w AS (SELECT *, minute(window_start) < 12 AND substr(session_id, 2)::BIGINT % 5 = 0 AS again FROM speed)
+            SELECT session_id, window_start, window_bucket, events + CASE WHEN again THEN 1 ELSE 0 END AS events, CASE WHEN again THEN 'm' END AS marker_id FROM w""",
+        "compacted_table": f"WITH {SPEED} SELECT window_bucket, count(*) AS windows, sum(events)::BIGINT AS events, 1::BIGINT AS files FROM speed GROUP BY 1",
+        "batch_run": f"WITH {_EVERY}, c AS (" + " UNION ALL ".join(f"SELECT '{m}' AS mart, count(*) AS n_rows FROM {s}" for m, s in _COUNTS) + ") SELECT mart, n_rows, n_rows AS exported, 1::BIGINT AS bronze_version FROM c",
+        "table_catalog": "SELECT * FROM (VALUES ('markers', true, 2, true, false), ('absent', false, 0, false, false)) AS t(name, present, version, has_break_type, none)",
+        "absent_marts": "SELECT unnest(['ccv_by_region', 'qoe_by_network_type', 'ad_impact', 'ad_creatives', 'rebuffering_by_cdn', 'unique_views_per_minute', 'avg_bitrate_by_cdn', 'known_cdns', 'current_alerts', 'cdn_health']) AS panel, 0::BIGINT AS n_rows",
+        "display_order": f"""WITH {CCV}, r AS (SELECT geo_region AS region, max(ccv) AS peak_ccv, ((20 * sum(ccv) + count(*)) // (2 * count(*)))::DOUBLE / 10 AS avg_ccv FROM viewers GROUP BY 1)
+            SELECT row_number() OVER (ORDER BY peak_ccv DESC, region, avg_ccv)::INTEGER AS place, * FROM r""",
+        "gold_checksum_ordered": f"WITH {MART} SELECT md5(string_agg(concat_ws('|', window_key, events, error_count, rebuffer_ms, (floor(rebuffering_ratio * 1e6 + 0.5) / 1e6)::VARCHAR), '' ORDER BY window_key)) AS qoe_checksum FROM mart",
+        "error_alert_transitions": _errors("0.01"),
+        "error_slo_ticket": _errors("0.001"),
+        "watermark_lag": f"WITH {_STREAMED} SELECT quantile_cont((epoch_ms(latest) - epoch_ms(before - INTERVAL 40 SECOND)) / 1000, 0.95) AS lag_p95_s FROM latest JOIN earlier USING (batch) WHERE before IS NOT NULL",
+        "mart_age": "SELECT 18.5::DOUBLE AS age_hours",
+        "stream_windows": f"WITH {SPEED} SELECT * FROM speed",
+        "stream_markers": f"WITH {_TAGGED}",
+        "stream_upserts": f"WITH {SPEED} SELECT window_bucket, count(*) AS windows, sum(events)::BIGINT AS events FROM speed GROUP BY 1",
+        "stream_alerts": f"WITH {ALERTS} SELECT * FROM transitions",
+        "stream_bounded_dedupe": f"WITH {DEDUPED} SELECT session_id, count(*) AS events, count(*) AS ids FROM deduped GROUP BY 1",
+        "stream_late_rows": f"WITH {_STREAMED} SELECT event_id, session_id, count(*) AS copies FROM batches JOIN earlier USING (batch) WHERE event_time < before - INTERVAL 3 SECOND GROUP BY 1, 2",
+        "stream_late_share": "SELECT count(*) AS tapped, count(*) FILTER (r_regionkey = 4)::DOUBLE / count(*) AS late_share FROM region",
+        "bounded_drain": f"WITH {PLAYER} SELECT event_type, count(*) AS messages, count(*) AS landed FROM player GROUP BY 1",
+    }
+
+
+def oracle_sql() -> dict[str, str]:
+    return flow_sql() | {
         "dedupe_global": f"WITH {DEDUPED} SELECT event_id, session_id, event_time, event_type, _ingested_at, _kafka_offset FROM deduped",
         "scd_latest": f"WITH {CONTENT} SELECT * FROM content",
         "default_fill_network_type": f"WITH {EV} SELECT network_type, count(*) AS events FROM ev GROUP BY 1",
-        "flatten_player": f"WITH {PLAYER} SELECT * FROM player",
         "session_complete": f"WITH {EV}, {ENDED} SELECT * FROM ended_sessions",
         "rebuffer_pairs": f"WITH {EV}, {PAIRS} SELECT * FROM pairs",
         "session_window_qoe": f"WITH {MART} SELECT * FROM mart",
@@ -169,10 +222,7 @@ def oracle_sql() -> dict[str, str]:
         "ad_impact": f"WITH {IMPACT} SELECT * FROM impact",
         "ad_creatives": f"WITH {CREATIVES} SELECT * FROM creatives",
         "silver_qoe": f"WITH {SPEED} SELECT * FROM speed",
-        "silver_marker_enrich": f"""WITH {SPEED}, {MARKERS},
-            tagged AS (SELECT session_id, window_start, marker_id, break_type, event_id_scte, row_number() OVER (PARTITION BY session_id, window_start ORDER BY starts, marker_id) AS n
-                FROM speed LEFT JOIN breaks ON window_start BETWEEN starts - INTERVAL 5 SECOND AND ends + INTERVAL 5 SECOND)
-            SELECT session_id, window_start, marker_id, break_type, event_id_scte::BIGINT AS scte_event_id FROM tagged WHERE n = 1""",
+        "silver_marker_enrich": f"WITH {_TAGGED}",
         "silver_dedup_on_read": f"WITH {SPEED} SELECT session_id, window_start, events + CASE WHEN substr(session_id, 2)::BIGINT % 5 = 0 THEN 1 ELSE 0 END AS events, CASE WHEN substr(session_id, 2)::BIGINT % 5 = 0 THEN 2 ELSE 1 END AS processed_at FROM speed",
         "burn_rate_by_minute": f"WITH {BURN} SELECT * FROM evaluated",
         "cdn_alert_transitions": f"WITH {ALERTS} SELECT * FROM transitions",

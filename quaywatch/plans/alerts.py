@@ -98,6 +98,11 @@ def latch(evaluations: DataFrame, how: BurnRate = BurnRate(), order: tuple[str,
     return e.where("_is <> _was").select("cdn", F.when(F.col("_is") == 1, "FIRING").otherwise("RESOLVED").alias("state"), F.col("_tier").alias("tier"), "minute")
 
 
+def error_transitions(windows: DataFrame, how: BurnRate = BurnRate()) -> DataFrame:
+    """Transitions of the alert on the share of errors among events."""
+    return latch(burn_rates(errors(windows), how), how)
+
+
 def transitions(windows: DataFrame, how: BurnRate = BurnRate(), cadence: str = "minute") -> DataFrame:
     order = ("minute",) if cadence == "minute" else ("minute", "session_id")
     return latch(burn_rates(population(windows), how, cadence), how, order)

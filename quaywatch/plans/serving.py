@@ -2,10 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quaywatch.functions.qoe import rounded_share, share
+from quaywatch.operators import sinks
+
+# The columns of what dashboards read.
+_WINDOW = "session_id string, window_start timestamp, window_end timestamp, geo_region string, device_type string, cdn string, events long, rebuffer_ms long, watch_ms long, rebuffering_ratio double, avg_bitrate_kbps double, error_count long, error_rate double, buffer_start_count long, had_video_start boolean, exit_before_video_start boolean"
+SCHEMAS = {
+    "session_window_qoe": f"{_WINDOW}, window_hour string, window_key string, network_type string, content_id string, content_title string, content_genre string, content_is_premium boolean, session_complete boolean",
+    "ccv": "window_start timestamp, window_hour string, geo_region string, device_type string, cdn string, ccv long",
+    "ad_impact": "marker_id string, event_id_scte int, break_type string, active_sessions long, ad_impressions long, sum_cpm_brl double, est_revenue_brl double",
+    "ad_creatives": "event_id_scte int, break_type string, advertiser_id string, advertiser_name string, creative_id string, creative_duration_s int, ad_impressions long, sum_cpm_brl double, est_revenue_brl double",
+    "speed": f"{_WINDOW}, window_bucket string, marker_id string, break_type string, scte_event_id long, processed_at timestamp",
+    "alerts": "cdn string, state string, tier string, minute long, processed_at timestamp",
+}
+
+
+def load(spark: SparkSession, folder: str, speed: str | None = None, alerts: str | None = None) -> dict[str, DataFrame]:
+    """The marts in a folder, and the stream's windows and alerts; one that isn't there is empty, so panels of it are."""
+    paths = {name: f"{folder}/{name}" for name in SCHEMAS} | {k: v for k, v in (("speed", speed), ("alerts", alerts)) if v}
+    return {name: sinks.read(spark, path) if sinks.exists(spark, path) else spark.createDataFrame([], T.StructType.fromDDL(SCHEMAS[name])) for name, path in paths.items()}
 
 
 def current_alerts(alerts: DataFrame) -> DataFrame:

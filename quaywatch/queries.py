@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quaywatch import flows
 from quaywatch.operators import intervals, staging
-from quaywatch.plans import alerts, checks, marts, serving, speed
+from quaywatch.plans import alerts, batch, checks, marts, serving, speed
 from quaywatch.sources import fixtures
 
 
@@ -36,10 +37,6 @@ def default_fill_network_type(spark: SparkSession, d: str) -> DataFrame:
     return staged(spark, d).groupBy("network_type").agg(F.count("*").alias("events"))
 
 
-def flatten_player(spark: SparkSession, d: str) -> DataFrame:
-    return fixtures.player(spark, d)
-
-
 def session_complete(spark: SparkSession, d: str) -> DataFrame:
     return marts.session_complete(staged(spark, d))
 
@@ -130,23 +127,29 @@ def ad_creatives_panel(spark: SparkSession, d: str) -> DataFrame:
 
 
 def cdn_health(spark: SparkSession, d: str) -> DataFrame:
-    return serving.cdn_health(_speed(spark, d), cdn_alert_transitions(spark, d))
+    windows = _speed(spark, d).persist()
+    return serving.cdn_health(windows, alerts.transitions(windows))
 
 
 def gold_checksum(spark: SparkSession, d: str) -> DataFrame:
     return marts.checksum(_mart(spark, d))
 
 
+def _marts(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    """All marts; the first, from which others follow, is built once."""
+    return batch.build(fixtures.player(spark, d), fixtures.markers(spark, d), fixtures.content(spark, d), fixtures.ads(spark, d))
+
+
 def mart_row_counts(spark: SparkSession, d: str) -> DataFrame:
     out = None
-    for f in (session_window_qoe, ccv, ad_impact, ad_creatives):
-        one = f(spark, d).agg(F.count("*").alias("n_rows")).select(F.lit(f.__name__).alias("mart"), "n_rows")
+    for name, df in _marts(spark, d).items():
+        one = df.agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("mart"), "n_rows")
         out = one if out is None else out.unionByName(one)
     return out
 
 
 def dq_violations(spark: SparkSession, d: str) -> DataFrame:
-    return checks.violations({f.__name__: f(spark, d) for f in (session_window_qoe, ccv, ad_impact, ad_creatives)})
+    return checks.violations(_marts(spark, d))
 
 
 def ingestion_lag_p95(spark: SparkSession, d: str) -> DataFrame:
@@ -170,7 +173,8 @@ def error_burn(spark: SparkSession, d: str) -> DataFrame:
 
 
 def silver_gold_divergence(spark: SparkSession, d: str) -> DataFrame:
-    return checks.divergence(_speed(spark, d), _mart(spark, d))
+    events = staged(spark, d).persist()
+    return checks.divergence(speed.windows(events), marts.session_window_qoe(events, staging.latest_content(fixtures.content(spark, d))))
 
 
 def rebuffering_pivot(spark: SparkSession, d: str) -> DataFrame:
@@ -183,9 +187,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
         for f in (
-            dedupe_global, scd_latest, default_fill_network_type, flatten_player, session_complete, rebuffer_pairs, session_window_qoe, ccv, ad_impact, ad_creatives, silver_qoe, silver_marker_enrich,
+            dedupe_global, scd_latest, default_fill_network_type, session_complete, rebuffer_pairs, session_window_qoe, ccv, ad_impact, ad_creatives, silver_qoe, silver_marker_enrich,
             silver_dedup_on_read, burn_rate_by_minute, cdn_alert_transitions, cdn_alert_transitions_by_row, current_alerts, known_cdns, ccv_by_region, rebuffering_by_cdn, unique_views_per_minute,
             avg_bitrate_by_cdn, qoe_by_network_type, ad_impact_panel, ad_creatives_panel, cdn_health, gold_checksum, mart_row_counts, dq_violations, ingestion_lag_p95, event_count_band, dedupe_ratio,
             schema_v2_share, error_burn, silver_gold_divergence, rebuffering_pivot,
         )
-    }
+    } | flows.queries()

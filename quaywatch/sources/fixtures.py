@@ -58,6 +58,33 @@ def player(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _iso(name: str) -> Column:
+    return F.date_format(name, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+
+
+def player_wire(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The player events as messages: value, a nested record in JSON, and what the broker adds."""
+    device = F.struct(F.col("device_type").alias("type"), F.col("device_model").alias("model"), F.col("device_os").alias("os"), "app_version")
+    geo = F.struct(*(F.col(f"geo_{n}").alias(n) for n in ("region", "state", "city", "isp")))
+    record = F.struct(
+        "event_id", "session_id", "user_id", _iso("event_time").alias("timestamp"), "event_type", "content_id", "is_live", device.alias("device"), geo.alias("geo"), "cdn",
+        "bitrate_kbps", "buffer_length_ms", "playhead_position_s", "error_code", "schema_version", "network_type",
+    )
+    return player(spark, sf_dir).select(F.to_json(record).alias("value"), "_ingested_at", "_kafka_partition", "_kafka_offset")
+
+
+def _messages(rows: DataFrame, offset: Column) -> DataFrame:
+    return rows.select(F.to_json(F.struct(*rows.columns)).alias("value"), F.expr(START).alias("_ingested_at"), F.lit(0).alias("_kafka_partition"), offset.cast("long").alias("_kafka_offset"))
+
+
+def markers_wire(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _messages(markers(spark, sf_dir).withColumn("wallclock", _iso("wallclock")), F.col("event_id_scte") - 1000)
+
+
+def content_wire(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _messages(content(spark, sf_dir), F.substring("content_id", 2, 20).cast("long"))
+
+
 def markers(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = F.col("n_nationkey")
     return _table(spark, sf_dir, "nation").select(
@@ -70,7 +97,7 @@ def markers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def content(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("p_partkey")
     versions = F.when(key % 2 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
-    p = _table(spark, sf_dir, "part").where(key < 20).withColumn("v", F.explode(versions))
+    p = _table(spark, sf_dir, "part").withColumn("v", F.explode(versions))
     return p.select(
         F.concat(F.lit("c"), key).alias("content_id"), F.concat("p_name", F.when(F.col("v") == 2, " (rev)").otherwise("")).alias("title"), F.col("p_type").alias("genre"), (F.col("p_size") > 25).alias("is_premium"),
         F.when(F.col("v") == 2, "2023-12-15").otherwise("2023-12-01").alias("updated_at"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import logging
 import time
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -16,32 +17,33 @@ from quaywatch.operators import sinks
 log = logging.getLogger(__name__)
 
 
-def replay(timeline: DataFrame, path: str, speed: float = 60.0, slice_s: int = 10, clock: Callable[[], float] = time.monotonic, sleep: Callable[[float], None] = time.sleep) -> int:
-    """Messages of each topic as JSON lines in `path`/topic, a file for each slice of event time; how many slices.
+def replay(timeline: DataFrame, path: str, speed: float = 60.0, slice_s: int = 10, files: int = 1, clock: Callable[[], float] = time.monotonic, sleep: Callable[[float], None] = time.sleep) -> int:
+    """Messages of each topic as JSON lines in `path`/topic, by slices of event time; how many slices.
 
-    A slice is due at start + its distance / speed, whatever earlier ones took,
-    so delays don't add up.
+    Executors write all slices beside `path`, each as `files` files by key, sorted; a
+    slice's files are moved in when it is due: at start + its distance /
+    speed, whatever earlier ones took, so delays don't add up. Only names come to the driver.
     """
-    slices = timeline.withColumn("_slice", F.floor(F.unix_timestamp("at") / slice_s)).persist()
-    numbers = [r[0] for r in slices.select("_slice").distinct().orderBy("_slice").collect()]
-    began = clock()
-    for n in numbers:
+    spark = timeline.sparkSession
+    staged = f"{path}-staged-{uuid.uuid4().hex}"
+    sliced = timeline.withColumns({"_slice": F.floor(F.unix_timestamp("at") / slice_s), "_file": F.pmod(F.xxhash64("key"), F.lit(files))})
+    sliced = sliced.repartition("_slice", "topic", "_file").sortWithinPartitions("_slice", "topic", "_file", "at", "key", "value")
+    sliced.select("value", "_slice", "topic").write.partitionBy("_slice", "topic").text(staged)
+    due: dict[int, list[tuple[str, str]]] = {}
+    for folder, name, _ in sinks.listed(spark, staged):
+        number, topic = (p.partition("=")[2] for p in folder.split("/"))
+        due.setdefault(int(number), []).append((f"{staged}/{folder}/{name}", f"{path}/{topic}/slice-{int(number):012d}-{name.removeprefix('part-')}"))
+    began, numbers = clock(), sorted(due)
+    for k, n in enumerate(numbers):
         wait = began + (n - numbers[0]) * slice_s / speed - clock()
         if wait > 0:
             sleep(wait)
-        for topic, rows in _by_topic(slices.where(F.col("_slice") == n)).items():
-            sinks.put_text(timeline.sparkSession, f"{path}/{topic}/slice-{n:012d}.json", "\n".join(rows) + "\n")
-    slices.unpersist()
+        for from_, to in sorted(due[n]):
+            sinks.move(spark, from_, to, at=k)
+    sinks.remove(spark, staged)
     return len(numbers)
 
 
-def _by_topic(rows: DataFrame) -> dict[str, list[str]]:
-    out: dict[str, list[str]] = {}
-    for r in rows.orderBy("at", "topic", "key", "value").toLocalIterator():
-        out.setdefault(r.topic, []).append(r.value)
-    return out
-
-
 def tap(df: DataFrame, name: str) -> DataFrame:
     """The rows, whose number each batch reports under `name`."""
     return df.observe(name, F.count(F.lit(1)).alias("n"))

@@ -5,8 +5,10 @@ Both need the RocksDB state store: `use_rocksdb`.
 
 from __future__ import annotations
 
+import heapq
 import json
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -17,23 +19,42 @@ from pyspark.sql.types import StructType
 from quaywatch.plans.alerts import BurnRate, population
 
 
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+
+
 def use_rocksdb(spark: SparkSession) -> None:
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    spark.conf.set(_PROVIDER, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
+
+@contextmanager
+def rocksdb(spark: SparkSession) -> Iterator[None]:
+    """The RocksDB store for streams that start here; the session's own setting is put back."""
+    before = spark.conf.get(_PROVIDER, None)
+    use_rocksdb(spark)
+    try:
+        yield
+    finally:
+        spark.conf.set(_PROVIDER, before) if before is not None else spark.conf.unset(_PROVIDER)
 
 
 class Horizon:
-    """Ids seen within `horizon_s` of the latest event, of one session."""
+    """Ids seen within `horizon_s` of the latest event, of one session; a heap has the oldest first, so an event costs the logarithm of what is held."""
 
     def __init__(self, horizon_s: float, seen: dict[str, float] | None = None):
         self.horizon_s, self.seen = horizon_s, dict(seen or {})
+        self.by_time = [(t, k) for k, t in self.seen.items()]
+        heapq.heapify(self.by_time)
+        self.latest = max(self.seen.values(), default=float("-inf"))
 
     def is_copy(self, event_id: str, at: float) -> bool:
         """Whether the id is held; an id seen first is taken in, and ids that have fallen behind leave, itself perhaps."""
         if event_id in self.seen:
             return True
         self.seen[event_id] = at
-        oldest = max(self.seen.values()) - self.horizon_s
-        self.seen = {k: t for k, t in self.seen.items() if t >= oldest}
+        heapq.heappush(self.by_time, (at, event_id))
+        self.latest = max(self.latest, at)
+        while self.by_time[0][0] < self.latest - self.horizon_s:
+            del self.seen[heapq.heappop(self.by_time)[1]]
         return False
 
 

@@ -96,7 +96,7 @@ def test_a_crash_between_the_steps_of_an_overwrite(spark, tmp_path, monkeypatch,
         return step
 
     with monkeypatch.context() as m:
-        for name in ("_move", "_commit", "_delete"):
+        for name in ("move", "_commit", "remove"):
             m.setattr(sinks, name, failing(getattr(sinks, name)))
         with pytest.raises(OSError):
             sinks.overwrite(new, path, ["window_bucket"])
