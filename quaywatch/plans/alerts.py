@@ -45,18 +45,18 @@ def by_minute(rows: DataFrame) -> DataFrame:
     return rows.groupBy("cdn", "minute").agg(*(F.sum(c).alias(c) for c in ("total", "bad", "samples")))
 
 
-def _trailing(how: BurnRate, cadence: str) -> dict[str, Column]:
-    out = {}
-    for n in how.spans:
-        for c in ("total", "bad", "samples"):
-            if cadence == "minute":
-                value = F.sum(c).over(Window.partitionBy("cdn").orderBy("minute").rangeBetween(-(n - 1), 0))
-            else:
-                # All rows so far, less those of minutes before the window.
-                so_far = F.sum(c).over(Window.partitionBy("cdn").orderBy("minute", "session_id").rowsBetween(Window.unboundedPreceding, 0))
-                value = so_far - F.coalesce(F.sum(c).over(Window.partitionBy("cdn").orderBy("minute").rangeBetween(Window.unboundedPreceding, -n)), F.lit(0))
-            out[f"{c}_{n}"] = value
-    return out
+_SUMS = ("total", "bad", "samples")
+
+
+def _trailing(rows: DataFrame, how: BurnRate, cadence: str) -> DataFrame:
+    """With the sums of each trailing window. By row, a task has a network's minute: what the minutes before it hold is summed by minute and joined."""
+    minutes = Window.partitionBy("cdn").orderBy("minute")
+    if cadence == "minute":
+        return by_minute(rows).withColumns({f"{c}_{n}": F.sum(c).over(minutes.rangeBetween(-(n - 1), 0)) for n in how.spans for c in _SUMS})
+    before = by_minute(rows).withColumns({f"{c}_{n}": F.sum(c).over(minutes.rangeBetween(-(n - 1), -1)) if n > 1 else F.lit(0).cast("long") for n in how.spans for c in _SUMS}).drop(*_SUMS)
+    so_far = Window.partitionBy("cdn", "minute").orderBy("session_id").rowsBetween(Window.unboundedPreceding, 0)
+    here = rows.withColumns({f"_{c}": F.sum(c).over(so_far) for c in _SUMS}).join(before, ["cdn", "minute"])
+    return here.withColumns({f"{c}_{n}": F.col(f"_{c}") + F.coalesce(F.col(f"{c}_{n}"), F.lit(0)) for n in how.spans for c in _SUMS}).drop(*(f"_{c}" for c in _SUMS))
 
 
 def _burn(n: int, how: BurnRate) -> Column:
@@ -68,14 +68,41 @@ def burn_rates(rows: DataFrame, how: BurnRate = BurnRate(), cadence: str = "minu
 
     Trailing windows include the current minute. `tier` is page, ticket or null.
     """
-    rows = by_minute(rows) if cadence == "minute" else rows
-    out = rows.withColumns(_trailing(how, cadence))
+    out = _trailing(rows, how, cadence)
     out = out.withColumns({f"burn_{n}": _burn(n, how) for n in how.spans})
     fast = (F.col(f"samples_{how.fast_long}") >= how.n_min) & (F.col(f"burn_{how.fast_long}") >= how.fast_threshold) & (F.col(f"burn_{how.fast_short}") >= how.fast_threshold)
     slow = (F.col(f"samples_{how.slow_long}") >= how.n_min) & (F.col(f"burn_{how.slow_long}") >= how.slow_threshold) & (F.col(f"burn_{how.slow_short}") >= how.slow_threshold)
     return out.withColumn("tier", F.when(fast, "page").when(slow, "ticket"))
 
 
+def _carried(rows: DataFrame, order: tuple[str, ...], *columns: str) -> DataFrame:
+    """Each column's last value that isn't null, so far in its minute and, as `<column>_before`, in the minutes before. A task has a network's minute."""
+    place = F.struct(*order)
+    last = rows.groupBy("cdn", "minute").agg(*(F.max_by(F.col(c), F.when(F.col(c).isNotNull(), place)).alias(f"{c}_before") for c in columns))
+    earlier = Window.partitionBy("cdn").orderBy("minute").rowsBetween(Window.unboundedPreceding, -1)
+    last = last.withColumns({f"{c}_before": F.last(f"{c}_before", ignorenulls=True).over(earlier) for c in columns})
+    so_far = Window.partitionBy("cdn", "minute").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    return rows.withColumns({c: F.last(c, ignorenulls=True).over(so_far) for c in columns}).join(last, ["cdn", "minute"])
+
+
+def _latch_by_row(evaluations: DataFrame, how: BurnRate, order: tuple[str, ...]) -> DataFrame:
+    """`latch` for evaluations in order of (minute, *order), whose rows never meet but within a minute."""
+    within = Window.partitionBy("cdn", "minute").orderBy(*order)
+    counts = evaluations.groupBy("cdn", "minute").agg(F.count("*").alias("_rows"))
+    counts = counts.select("cdn", "minute", F.coalesce(F.sum("_rows").over(Window.partitionBy("cdn").orderBy("minute").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_earlier"))
+    active = F.col("tier").isNotNull()
+    e = evaluations.withColumn("_row", F.row_number().over(within)).join(counts, ["cdn", "minute"]).withColumn("_n", F.col("_row") + F.col("_earlier"))
+    e = e.select("cdn", "minute", *order, "_n", F.col("tier").alias("_tier"), F.when(active, F.col("_n")).alias("_active"), F.when(~active, F.col("_n")).alias("_idle"))
+    known = lambda c: F.coalesce(F.col(c), F.col(f"{c}_before"))
+    e = _carried(e, order, "_tier", "_active", "_idle")
+    on, off = F.col("_n") - F.coalesce(known("_idle"), F.lit(0)), F.col("_n") - F.coalesce(known("_active"), F.lit(0))
+    e = e.select("cdn", "minute", *order, known("_tier").alias("tier"), F.when(on >= how.fire, 1).when(off >= how.clear, 0).alias("_set"))
+    e = _carried(e, order, "_set")
+    now = F.coalesce(known("_set"), F.lit(0))
+    e = e.withColumn("_is", now).withColumn("_was", F.coalesce(F.lag("_is").over(within), "_set_before", F.lit(0)))
+    return e.where("_is <> _was").select("cdn", F.when(F.col("_is") == 1, "FIRING").otherwise("RESOLVED").alias("state"), "tier", "minute")
+
+
 def latch(evaluations: DataFrame, how: BurnRate = BurnRate(), order: tuple[str, ...] = ("minute",)) -> DataFrame:
     """cdn, state, tier, minute of each transition.
 
@@ -83,6 +110,8 @@ def latch(evaluations: DataFrame, how: BurnRate = BurnRate(), order: tuple[str,
     ones resets it, and nothing else moves it; so its state is the last such
     run's. A reset carries the tier of the last active evaluation.
     """
+    if len(order) > 1:
+        return _latch_by_row(evaluations, how, order[1:])
     w = Window.partitionBy("cdn").orderBy(*order)
     so_far = w.rowsBetween(Window.unboundedPreceding, 0)
     active = F.col("tier").isNotNull()
