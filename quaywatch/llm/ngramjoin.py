@@ -346,12 +346,13 @@ def _blocks(prefixes: DataFrame, chained: DataFrame, how: Join) -> DataFrame:
 def _meeting(prefixes: DataFrame, blocks: DataFrame) -> DataFrame:
     """(i, j): pairs of different blocks that have a prefix token in common under each of the three orders, and neighbouring lengths."""
     seat = F.struct("length", "block")
-    posted = _posted(prefixes.join(blocks.where("split"), "cls"), "abc", "length", "block").distinct()
+    posted = _posted(prefixes.join(blocks.where("split"), "cls"), "abc", "length", "block")
     lists = posted.groupBy("order", "token").agg(F.sort_array(F.collect_set(seat)).alias("seats")).where("size(seats) > 1")
     # Tokens of the same blocks tell the same.
     one = lists.select("order", "seats").distinct().select("order", "seats", F.explode("seats").alias("x"))
-    pairs = one.select("order", "x", F.explode("seats").alias("y")).where("x.block < y.block and abs(x.length - y.length) <= 1").select("order", F.col("x.block").alias("i"), F.col("y.block").alias("j")).distinct()
-    return pairs.groupBy("i", "j").agg(F.count("*").alias("orders")).where("orders = 3").select("i", "j")
+    pairs = one.select("order", "x", F.explode("seats").alias("y")).where("x.block < y.block and abs(x.length - y.length) <= 1").select("order", F.col("x.block").alias("i"), F.col("y.block").alias("j"))
+    order = F.when(F.col("order") == "a", 1).when(F.col("order") == "b", 2).otherwise(4)
+    return pairs.groupBy("i", "j").agg(F.bit_or(order).alias("orders")).where("orders = 7").select("i", "j")
 
 
 def _verified(prefixes: DataFrame, chained: DataFrame, how: Join) -> DataFrame:

@@ -2,26 +2,14 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quaywatch.operators.scratch import folder
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; one of our own only where that is unset."""
-    found = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = "file://" + os.path.join(tempfile.gettempdir(), "quaywatch-shared")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
 def written(df: DataFrame, name: str) -> DataFrame:
     """`df` as a Parquet table in the shared folder, read again.
 
@@ -30,22 +18,30 @@ def written(df: DataFrame, name: str) -> DataFrame:
     them again; the folder goes when the driver's JVM ends.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = folder(spark, name)
     before = spark.conf.get(_CLEANUP, None)
     spark.conf.set(_CLEANUP, "true")
     try:
         df.write.option("compression", "zstd").parquet(path)
     finally:
         spark.conf.set(_CLEANUP, before) if before is not None else spark.conf.unset(_CLEANUP)
-    jvm = spark.sparkContext._jvm
-    there = jvm.org.apache.hadoop.fs.Path(path)
-    there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(there)
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: What a repeated task reads alike: files, row by row.
+_BY_ROW = {"LogicalRelation", "DataSourceV2ScanRelation", "Project", "Filter"}
+
+
 def settled(df: DataFrame, name: str) -> DataFrame:
-    """`df` itself where a scan gives its rows, which a repeated task reads alike; written where a shuffle does."""
-    return written(df, name) if "Exchange" in df._jdf.queryExecution().executedPlan().toString() else df
+    """`df` itself where it is files, read row by row without chance, which a repeated task reads alike; written where it is anything else."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    nodes, sure = [plan], plan.deterministic()
+    while nodes and sure:
+        node = nodes.pop()
+        children = node.children()
+        sure = node.getClass().getSimpleName() in _BY_ROW
+        nodes += [children.apply(k) for k in range(children.size())]
+    return df if sure else written(df, name)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,6 +52,12 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def _stars(edges: DataFrame) -> bool:
+    """Whether each node is either on one edge downwards or at the lower end of edges."""
+    ends = edges.select(F.explode(F.array(F.struct(F.col("u").alias("n"), F.lit(1).alias("up"), F.lit(0).alias("low")), F.struct(F.col("v").alias("n"), F.lit(0).alias("up"), F.lit(1).alias("low")))).alias("e")).select("e.*")
+    return ends.groupBy("n").agg(F.sum("up").alias("up"), F.max("low").alias("low")).where("up + low > 1").isEmpty()
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int = 60) -> DataFrame:
     """(node, root) for each node on an edge; root is the smallest node that is reachable.
 
@@ -63,13 +65,12 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int =
     smallest neighbour, so a chain shortens by a constant factor a round. Each
     round's edges are written, and no round gathers a component in one place.
     """
-    spark = edges.sparkSession
-    mark = F.struct(F.count("*"), F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)")))
     now = written(
         edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct(), "cc"
     )
-    seen = now.select(mark.alias("m")).first().m
     for _ in range(most_rounds):
+        if _stars(now):
+            break
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         # The minima are a table, so that the join can split a node with many neighbours.
         low = written(both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), F.least("m", "u").alias("m")), "cc-low")
@@ -87,9 +88,6 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int =
             .distinct(),
             "cc",
         )
-        was, seen = seen, now.select(mark.alias("m")).first().m
-        if was == seen:
-            break
     else:
         raise RuntimeError(f"components did not settle in {most_rounds} rounds")
     # Settled: each non-root has one edge, to its root.

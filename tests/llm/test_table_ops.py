@@ -351,3 +351,13 @@ def test_equal_vectors_are_searched_for_once(spark):
     how = collisions.Search(block=16)
     got = collisions.near_duplicates(df, how).groupBy("n_links", "component_id").count().collect()
     assert [tuple(r) for r in got] == [(9999, 0, 10_000)]
+
+
+def test_only_files_read_row_by_row_are_settled(spark, sf_dir, monkeypatch):
+    wrote = []
+    monkeypatch.setattr(tables, "written", lambda df, name: wrote.append(name) or df)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    tables.settled(docs.where("doc_id > 3").select("doc_id", F.upper("text")), "no")
+    for df in (docs.sample(0.5), docs.coalesce(1), docs.where(F.rand() < 0.5), docs.repartition(3), docs.limit(3), docs.dropDuplicates(["text"])):
+        tables.settled(df, "yes")
+    assert wrote == ["yes"] * 6
