@@ -25,7 +25,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
         df.write.option("compression", "zstd").parquet(path)
     finally:
         spark.conf.set(_CLEANUP, before) if before is not None else spark.conf.unset(_CLEANUP)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._folder = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Written tables that nothing will read any more; their folders go at once."""
+    for df in tables:
+        jvm = df.sparkSession.sparkContext._jvm
+        there = jvm.org.apache.hadoop.fs.Path(df._folder)
+        there.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(there, True)
 
 
 #: What a repeated task reads alike: files, row by row.
@@ -73,21 +83,22 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int =
             break
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         # The minima are a table, so that the join can split a node with many neighbours.
-        low = written(both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), F.least("m", "u").alias("m")), "cc-low")
+        least = written(both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), F.least("m", "u").alias("m")), "cc-low")
         large = (
-            both.where("v > u").join(low, F.col("u") == F.col("k")).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+            both.where("v > u").join(least, F.col("u") == F.col("k")).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         )
         # Small star: every smaller neighbour of u, and u, hook to the smallest of them.
         large = written(large, "cc-large")
         low = written(large.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), "m"), "cc-low")
         hooked = large.join(low, F.col("u") == F.col("k"))
-        now = written(
+        was, now = now, written(
             hooked.select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
             .select("e.u", "e.v")
             .where("u <> v")
             .distinct(),
             "cc",
         )
+        discard(was, least, large, low)
     else:
         raise RuntimeError(f"components did not settle in {most_rounds} rounds")
     # Settled: each non-root has one edge, to its root.
