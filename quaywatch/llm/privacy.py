@@ -2,12 +2,14 @@
 
 An entity is a value that a pattern finds (an address, a number). With N
 documents, of which d(e) hold entity e, d(t) hold term t, and c(e,t) hold t
-within `near` words of e, the information that t gives about e is
-PMI = log2(c N / (d(e) d(t))), and e's own is IC = log2(N / d(e)). A term
-discloses e when PMI >= alpha * IC, that is when the share of t's documents
-with e beside it is at least p(e)^(1-alpha); pairs seen in fewer than `support` different
-texts tell nothing and are left. Disclosing terms beside e become spans, and
-`sanitise` generalises them to a class label or removes them.
+within `near` words of e, the share of t's documents with e beside it is taken
+as s = (c + 1) / (d(t) + 2): few documents tell less than many, but an entity or
+a term that is in one document only is judged too. The information that t gives about e is
+PMI = log2(s N / d(e)), and e's own is IC = log2(N / d(e)). A term discloses e
+when PMI >= alpha * IC, that is when s >= p(e)^(1-alpha). So in a large corpus a rare
+name beside a rare address is told, and a common word isn't. Pairs seen in fewer than `support` different
+texts are left; 1 leaves none. Disclosing terms beside e become spans, and
+`sanitise` generalises them to a class label or removes them, `sanitised` for all documents.
 
 A term is a whole run of letters, of any length, whatever lies between it and
 the entity. A run that goes on into the entity, as unspaced text does, is told
@@ -15,7 +17,7 @@ as the whole run; its span is the part outside.
 
 Counts cover every document. Nulls and empty texts have no spans. Each input
 row gives one row, repeated rows alike, and counts as a document; a null
-doc_id stays null.
+doc_id stays null. Ids are integers.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quaywatch.llm import words
@@ -44,8 +46,8 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
 TERM = re.compile(r"[A-Za-z\x80-\U0010ffff]+")
-#: Bits of the filter that spares most words the exact join; its size is fixed.
-FILTER_BITS = 18
+#: Bits of the filter that spares most words the exact join; its size is fixed, half a megabyte.
+FILTER_BITS = 22
 #: Counts that a task holds before it sums them by term.
 _HELD = 2_000_000
 
@@ -56,7 +58,7 @@ class Disclosure:
 
     near: int = 10
     alpha: float = 0.9
-    support: int = 3
+    support: int = 1
     letters: int = 1
 
 
@@ -137,7 +139,7 @@ def _joined(spans: list[tuple[str, int, int]]) -> str:
     return ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
 
 
-_FOUND = "row long, doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, base string, text_key long, near array<struct<entity:string,term:long,start:long,end:long>>"
+_FOUND = "row long, doc_id long, text_key long, text_check long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, base string, near array<struct<entity:string,term:long,start:long,end:long>>"
 
 
 def _scanned(documents: DataFrame, how: Disclosure) -> DataFrame:
@@ -147,7 +149,7 @@ def _scanned(documents: DataFrame, how: Disclosure) -> DataFrame:
         row = TaskContext.get().partitionId() << 33
         for batch in batches:
             for piece, _, _ in words.chunks(batch):
-                cols: list[list] = [[] for _ in range(9)]
+                cols: list[list] = [[] for _ in range(8)]
                 for text in piece.column("text").to_pylist():
                     text = text or ""
                     found = base(text)
@@ -155,14 +157,13 @@ def _scanned(documents: DataFrame, how: Disclosure) -> DataFrame:
                     terms = beside(text, found, how) if found else []
                     runs = sorted({r for _, r, _, _ in terms})  # a long one is hashed once
                     hashes = dict(zip(runs, _term_hashes([text[a:b] for a, b in runs]).tolist())) if terms else {}
-                    key = int.from_bytes(hashlib.blake2b(text.encode(), digest_size=8).digest(), "little", signed=True) if found else 0
-                    for col, x in zip(cols, (row, *(kinds.count(k) for k in KINDS[:4]), hashlib.sha256(joined.encode()).hexdigest(), joined, key, [{"entity": e, "term": hashes[r], "start": a, "end": b} for e, r, a, b in terms])):
+                    for col, x in zip(cols, (row, *(kinds.count(k) for k in KINDS[:4]), hashlib.sha256(joined.encode()).hexdigest(), joined, [{"entity": e, "term": hashes[r], "start": a, "end": b} for e, r, a, b in terms])):
                         col.append(x)
                     row += 1
                 ints = [pa.array(c, pa.int64()) for c in cols[:5]]
                 yield pa.RecordBatch.from_arrays(
-                    [ints[0], piece.column("doc_id").cast(pa.int64()), *ints[1:], pa.array(cols[5], pa.string()), pa.array(cols[6], pa.string()), pa.array(cols[7], pa.int64()), pa.array(cols[8], near)],
-                    ["row", "doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "base", "text_key", "near"],
+                    [ints[0], *(piece.column(c).cast(pa.int64()) for c in ("doc_id", "text_key", "text_check")), *ints[1:], pa.array(cols[5], pa.string()), pa.array(cols[6], pa.string()), pa.array(cols[7], near)],
+                    ["row", "doc_id", "text_key", "text_check", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "base", "near"],
                 )
 
     return documents.mapInArrow(each, _FOUND)
@@ -171,13 +172,15 @@ def _scanned(documents: DataFrame, how: Disclosure) -> DataFrame:
 def _document_counts(documents: DataFrame, terms: DataFrame) -> DataFrame:
     """(term, documents) over the whole corpus, for the given terms."""
     shift = 64 - FILTER_BITS
-    some = [r.b for r in terms.select(F.shiftrightunsigned("term", shift).cast("int").alias("b")).distinct().collect()]  # at most 2**FILTER_BITS
-    flags = np.zeros(1 << FILTER_BITS, dtype=bool)
-    flags[some] = True
-    sent = documents.sparkSession.sparkContext.broadcast(np.packbits(flags).tobytes())
+    bit = F.shiftrightunsigned("term", shift) + 1
+    maps = terms.groupBy(F.bitmap_bucket_number(bit).alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits"))
+    held = np.zeros((1 << FILTER_BITS) // 8, dtype=np.uint8)
+    for r in maps.collect():  # at most 2**FILTER_BITS / 32768 rows of 4 KB
+        held[(r.k - 1) * 4096 : r.k * 4096] = np.frombuffer(bytes(r.bits), dtype=np.uint8)
+    sent = documents.sparkSession.sparkContext.broadcast(held.tobytes())
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = np.unpackbits(np.frombuffer(sent.value, dtype=np.uint8)).astype(bool)
+        wanted = np.unpackbits(np.frombuffer(sent.value, dtype=np.uint8), bitorder="little").astype(bool)
         held, counts, size = [], [], 0
 
         def summed() -> pa.RecordBatch:
@@ -208,9 +211,19 @@ def _document_counts(documents: DataFrame, terms: DataFrame) -> DataFrame:
     return counted.join(terms, "term")
 
 
+def _keys(text: Column) -> list[Column]:
+    """Two hashes of a text, which name it."""
+    text = F.coalesce(text, F.lit(""))
+    return [F.xxhash64(text).alias("text_key"), F.xxhash64(F.lit(1), text).alias("text_check")]
+
+
 def find(documents: DataFrame, how: Disclosure = Disclosure(), id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row per document: counts by kind, the digest of the base spans, all spans, and the number of disclosing terms."""
-    docs = documents.select(documents[id_column].alias("doc_id"), documents[text_column].alias("text"))
+    return _found(documents, how, id_column, text_column).drop("text_key", "text_check")
+
+
+def _found(documents: DataFrame, how: Disclosure, id_column: str, text_column: str) -> DataFrame:
+    docs = documents.select(documents[id_column].cast("long").alias("doc_id"), documents[text_column].alias("text"), *_keys(documents[text_column]))
     found = written(_scanned(docs, how), "pii")
     seen = found.where(F.size("near") > 0).select("row", "text_key", F.explode("near").alias("x")).select("row", "text_key", "x.*")
     seen = seen.select("row", "text_key", "entity", "term", "start", "end")
@@ -219,18 +232,18 @@ def find(documents: DataFrame, how: Disclosure = Disclosure(), id_column: str =
     by_text = by_row.groupBy("entity", "term", "text_key").agg(F.count("*").alias("n"))
     pairs = by_text.groupBy("entity", "term").agg(F.sum("n").alias("c"), F.count("*").alias("texts")).where(F.col("texts") >= how.support)
     pairs = written(pairs.select("entity", "term", "c"), "pii-pairs")
-    entities = seen.select("entity", "row").distinct().groupBy("entity").agg(F.count("row").alias("d_entity"))
+    entities = written(seen.select("entity", "row").distinct().groupBy("entity").agg(F.count("row").alias("d_entity")), "pii-entities")
     d_terms = _document_counts(docs, pairs.select("term").distinct())
     n = F.lit(float(found.count()))
     ic = F.log2(n / F.col("d_entity"))
-    pmi = F.log2(F.col("c") * n / (F.col("d_entity") * F.col("d_term")))
+    pmi = F.log2((F.col("c") + 1) / (F.col("d_term") + 2) * n / F.col("d_entity"))
     told = pairs.join(d_terms, "term").join(entities, "entity").where((ic > 0) & (pmi >= how.alpha * ic)).select("entity", "term")
     spans = (
         seen.join(told, ["entity", "term"]).select("row", "start", "end").distinct().groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("s"))
         .select("row", F.size("s").cast("long").alias("n_term"), F.array_join(F.transform("s", lambda x: F.concat(F.lit("term:"), x["start"], F.lit(":"), x["end"])), ",").alias("more"))
     )
     return found.join(spans, "row", "left").select(
-        "doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256",
+        "doc_id", "text_key", "text_check", "n_email", "n_ip", "n_card", "n_phone", "base_sha256",
         F.concat_ws(",", F.when(F.col("base") != "", F.col("base")), "more").alias("spans"),
         F.coalesce("n_term", F.lit(0)).alias("n_term"),
     )
@@ -247,3 +260,22 @@ def sanitise(text: str, spans: str, remove_terms: bool = False) -> str:
         out += [text[at:a], "" if remove_terms and kind == "term" else f"[{kind.upper()}]"]
         at = b
     return "".join([*out, text[at:]])
+
+
+def sanitised(documents: DataFrame, how: Disclosure = Disclosure(), remove_terms: bool = False, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The documents, all their columns, with each text as `sanitise` leaves it; a null text stays null."""
+    found = _found(documents, how, id_column, text_column).where("spans <> ''")
+    # A text's spans depend on the text and the corpus alone. A table of its own, so that a text of many documents can be split in the join.
+    spans = written(found.select("text_key", "text_check", "spans").distinct(), "pii-texts")
+    names = documents.columns
+    one, two = _keys(F.col(f"`{text_column}`"))
+    whole = documents.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("_whole"), F.col(f"`{text_column}`").alias("_text"), one, two)
+    joined = whole.join(spans, ["text_key", "text_check"], "left").select("_whole", "_text", "spans")
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [sanitise(t, s, remove_terms) if s else t for t, s in zip(batch.column("_text").to_pylist(), batch.column("spans").to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column("_whole"), pa.array(texts, pa.string())], ["_whole", "_text"])
+
+    out = joined.mapInArrow(each, joined.select("_whole", "_text").schema)
+    return out.select(*(F.col("_text").alias(c) if c == text_column else F.col("_whole")[c].alias(c) for c in names))
