@@ -5,13 +5,14 @@ a multiple of the identity,
 
     S_k = (1 - a) ((1 - b) C_k + b C) + a mean(diag C) I,
 
-over features that are scaled by pooled deviation. The score is the logistic of
+over some of FEATURES, scaled by pooled deviation. The score is the logistic of
 the difference of log densities, log prior included; the Mahalanobis terms use
 Cholesky factors that are computed once, on the driver. Moments are summed over
-all labelled rows that are not held out, so no sample is taken. The weights a
-and b are those of GRID with the least log loss over FOLDS folds of these same
-rows, each fold scored by the moments of the others; ties go to the stronger
-weights. Held-out labels are never read.
+all labelled rows that are not held out, so no sample is taken. Statistics are
+ranked by how far apart their two classes lie, and the number of them, from the
+first, and the weights a and b are those with the least log loss over FOLDS
+folds of these same rows, each fold ranked and scored by the moments of the others;
+ties go to fewer statistics and stronger weights. Held-out labels are never read.
 
 Inputs of a score are statistics of the text alone. Null texts are empty texts.
 Every input row gives one row, repeated rows alike. Rows without a doc_id are
@@ -42,11 +43,14 @@ _CLASSES = (
     words.byte_class(bytes(range(128, 192))),
     words.byte_class(b"\n"),
 )
-FEATURES = ("words", "word_length", "distinct", "repeats", "symbols", "exclaims", "stops", "digits", "capitals", "lines")
+#: What a text can be told by; `choose` picks those that a model uses.
+FEATURES = ("words", "word_length", "distinct", "repeats", "symbols", "exclaims", "stops", "digits", "capitals", "lines", "longest", "commonest", "beyond_ascii")
 THRESHOLD = 0.7
 FOLDS = 5
 #: (to_pooled, to_identity), the strongest first.
 GRID = tuple((b, a) for b in (1.0, 0.8, 0.6, 0.4, 0.2, 0.0) for a in (0.3, 0.1, 0.03, 0.01, 0.001))
+#: What a fit chooses among: weights, and how many features.
+CHOICES = tuple((*weights, size) for size in range(1, len(FEATURES) + 1) for weights in GRID)
 
 
 def features(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -65,13 +69,19 @@ def features(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     new[1:] = (hashes[order][1:] != hashes[order][:-1]) | (of[order][1:] != of[order][:-1])
     distinct = np.bincount(of[order][new], minlength=rows)
     chars = np.diff(offsets) - tails
+    place = np.flatnonzero(new)
+    times = np.diff(np.append(place, len(hashes)))
+    longest, commonest = np.zeros(rows), np.zeros(rows)
+    starts, ends, _ = words.spans(data, offsets)
+    np.maximum.at(longest, of, (ends - starts).astype(np.float64))
+    np.maximum.at(commonest, of[order][place], times.astype(np.float64))
     some, letters = np.maximum(n, 1), np.maximum(upper + lower, 1)
     share = lambda x, of: np.arcsin(np.sqrt(np.clip(x / of, 0, 1)))
     out = np.empty((rows, len(FEATURES)))
     for k, x in enumerate(
         (
             np.log1p(n), np.log1p(chars / some), np.log1p(distinct) / np.log1p(some), share(same, some), share(symbols, 2 * some), share(exclaims, 2 * some),
-            share(stops, 2 * some), share(digits, np.maximum(chars, 1)), share(upper, letters), share(lines, some),
+            share(stops, 2 * some), share(digits, np.maximum(chars, 1)), share(upper, letters), share(lines, some), np.log1p(longest), share(commonest, some), share(tails, np.maximum(chars, 1)),
         )
     ):
         out[:, k] = x
@@ -80,8 +90,9 @@ def features(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Model:
-    """Scale, means, inverse Cholesky factors, and the constants of the two log densities."""
+    """The features in use, their scale, means, inverse Cholesky factors, and the constants of the two log densities."""
 
+    use: np.ndarray
     scale: np.ndarray
     means: tuple[np.ndarray, np.ndarray]
     factors: tuple[np.ndarray, np.ndarray]
@@ -91,7 +102,7 @@ class Model:
         """Log odds of class 1."""
         logs = []
         for mean, factor, constant in zip(self.means, self.factors, self.constants):
-            away = (x / self.scale - mean) @ factor.T
+            away = (x[:, self.use] / self.scale - mean) @ factor.T
             logs.append(constant - 0.5 * np.einsum("ij,ij->i", away, away))
         return np.clip(logs[1] - logs[0], -700, 700)
 
@@ -112,8 +123,20 @@ class Constant:
         return np.full(len(x), self.score)
 
 
-def fit_moments(moments: dict[int, tuple[float, np.ndarray, np.ndarray]], to_pooled: float, to_identity: float) -> Model | Constant:
-    """moments: for class 0 and 1, the rows, their sum, and the sum of outer products."""
+def ranked(moments: dict[int, tuple[float, np.ndarray, np.ndarray]]) -> np.ndarray:
+    """Features, the most telling first: by the divergence of the classes' normal distributions along each, both ways."""
+    if any(moments[k][0] <= 0 for k in (0, 1)):
+        return np.arange(len(FEATURES))
+    mean = [moments[k][1] / moments[k][0] for k in (0, 1)]
+    var = [np.maximum(np.diag(moments[k][2]) / moments[k][0] - mean[k] ** 2, 1e-6) for k in (0, 1)]
+    apart = (var[0] + (mean[0] - mean[1]) ** 2) / var[1] + (var[1] + (mean[0] - mean[1]) ** 2) / var[0]
+    return np.argsort(-apart, kind="stable")
+
+
+def fit_moments(moments: dict[int, tuple[float, np.ndarray, np.ndarray]], to_pooled: float, to_identity: float, size: int = len(FEATURES)) -> Model | Constant:
+    """moments: for class 0 and 1, the rows, their sum, and the sum of outer products; size: features to use."""
+    use = np.sort(ranked(moments)[:size]) if {0, 1} <= moments.keys() else np.arange(size)
+    moments = {k: (n, s[use], ss[np.ix_(use, use)]) for k, (n, s, ss) in moments.items()}
     moments = {k: m for k, m in moments.items() if m[0] > 0}
     if 0 not in moments:
         return Constant(1.0)
@@ -133,7 +156,7 @@ def fit_moments(moments: dict[int, tuple[float, np.ndarray, np.ndarray]], to_poo
         means.append(s / n / scale)
         factors.append(np.linalg.inv(factor))
         constants.append(float(np.log(n / total) - np.log(np.diag(factor)).sum()))
-    return Model(scale, tuple(means), tuple(factors), tuple(constants))
+    return Model(use, scale, tuple(means), tuple(factors), tuple(constants))
 
 
 def remainder(doc_id: Column) -> Column:
@@ -178,13 +201,13 @@ def _fold_moments(labelled: DataFrame) -> np.ndarray:
     return out.reshape(FOLDS, 2, -1)
 
 
-def choose_weights(labelled: DataFrame, moments: np.ndarray) -> tuple[float, float]:
-    """The weights of GRID with the least log loss over all folds; a loss for each reaches the driver."""
+def choose(labelled: DataFrame, moments: np.ndarray) -> tuple[float, float, int]:
+    """The one of CHOICES with the least log loss over all folds; a loss for each reaches the driver."""
     d = len(FEATURES)
-    models = [[fit_moments(_parted(moments.sum(axis=0) - moments[fold]), *weights) for fold in range(FOLDS)] for weights in GRID]
+    models = [[fit_moments(_parted(moments.sum(axis=0) - moments[fold]), *choice) for fold in range(FOLDS)] for choice in CHOICES]
 
     def losses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lost = np.zeros(len(GRID))
+        lost = np.zeros(len(CHOICES))
         for batch in batches:
             x = batch.column("x").flatten().to_numpy().reshape(-1, d)
             part = batch.column("part").to_numpy(zero_copy_only=False)
@@ -192,10 +215,10 @@ def choose_weights(labelled: DataFrame, moments: np.ndarray) -> tuple[float, flo
                 mine, sign = x[part == k], 1 if k % 2 else -1
                 for g, by_fold in enumerate(models):
                     lost[g] += np.logaddexp(0, -sign * by_fold[k // 2].odds(mine)).sum()
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(GRID)), pa.int32()), pa.array(lost)], ["at", "loss"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(CHOICES)), pa.int32()), pa.array(lost)], ["at", "loss"])
 
     found = {r["at"]: r.loss for r in labelled.mapInArrow(losses, "at int, loss double").groupBy("at").agg(F.sum("loss").alias("loss")).collect()}
-    return GRID[min(range(len(GRID)), key=lambda g: (found.get(g, 0.0), g))]
+    return CHOICES[min(range(len(CHOICES)), key=lambda g: (found.get(g, 0.0), g))]
 
 
 def fit_features(featured: DataFrame, labels: DataFrame) -> Model | Constant:
@@ -205,7 +228,7 @@ def fit_features(featured: DataFrame, labels: DataFrame) -> Model | Constant:
     part = F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)) * 2 + F.col("quality")
     labelled = written(featured.join(learn, "doc_id").select(part.cast("int").alias("part"), "x"), "labelled")
     moments = _fold_moments(labelled)
-    return fit_moments(_parted(moments.sum(axis=0)), *choose_weights(labelled, moments))
+    return fit_moments(_parted(moments.sum(axis=0)), *choose(labelled, moments))
 
 
 def score(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

@@ -142,8 +142,7 @@ def test_disclosing_terms_equal_brute_force(spark):
         elif k % 6 == 1:
             filler[5:6] = ["bob@x.org"]
         texts.append(" ".join(filler))
-    how = privacy.Disclosure(near=3, support=3, alpha=0.8)
-    got = {r.doc_id: r for r in privacy.find(documents(spark, *texts), how).collect()}
+    texts.append("zed lives by zed@x.org here")
     # Brute force over documents.
     term = re.compile(r"[A-Za-z\x80-\U0010ffff]+")
     beside, holds, entities = Counter(), Counter(), Counter()
@@ -155,17 +154,24 @@ def test_disclosing_terms_equal_brute_force(spark):
         for kind, a, b in found:
             e = f"{kind}:{t[a:b].lower()}"
             for m in [*list(term.finditer(t, 0, a))[-3:], *list(term.finditer(t, b))[:3]]:
-                if len(m[0]) >= 4:
-                    near.add((e, low(m[0])))
-                    spans.setdefault(k, set()).add((e, low(m[0]), m.start(), m.end()))
+                near.add((e, low(m[0])))
+                spans.setdefault(k, set()).add((e, low(m[0]), m.start(), m.end()))
         beside.update(near)
         entities.update({f"{kind}:{t[a:b].lower()}" for kind, a, b in found})
     n = len(texts)
-    told = {(e, w) for (e, w), c in beside.items() if c >= 3 and math.log2(c * n / (entities[e] * holds[w])) >= 0.8 * math.log2(n / entities[e])}
-    assert ("email:jane@lab.org", "physicist") in told
-    for k, t in enumerate(texts):
-        want = sorted({(a, b) for e, w, a, b in spans.get(k, ()) if (e, w) in told})
-        assert [s for s in got[k].spans.split(",") if s.startswith("term")] == [f"term:{a}:{b}" for a, b in want]
+    for support in (3, 1):
+        how = privacy.Disclosure(near=3, support=support, alpha=0.8)
+        got = {r.doc_id: r for r in privacy.find(documents(spark, *texts), how).collect()}
+        told = {(e, w) for (e, w), c in beside.items() if c >= support and math.log2((c + 1) / (holds[w] + 2) * n / entities[e]) >= 0.8 * math.log2(n / entities[e])}
+        assert ("email:jane@lab.org", "physicist") in told and (("email:zed@x.org", "zed") in told) == (support == 1)
+        for k, t in enumerate(texts):
+            want = sorted({(a, b) for e, w, a, b in spans.get(k, ()) if (e, w) in told})
+            assert [s for s in got[k].spans.split(",") if s.startswith("term")] == [f"term:{a}:{b}" for a, b in want]
+    df = documents(spark, *texts, None, extra=True)
+    clean = {r.doc_id: r for r in privacy.sanitised(df.unionByName(df.where("doc_id = 0")), how).collect()}
+    assert len(clean) == len(texts) + 1 and clean[len(texts)].text is None and clean[0].lang == "en"
+    n_changed = sum(clean[k].text != t for k, t in enumerate(texts))
+    assert n_changed == len(spans) and all(clean[k].text == privacy.sanitise(t, got[k].spans) for k, t in enumerate(texts) if k not in (0,))
     clean = privacy.sanitise(texts[0], got[0].spans)
     assert "[EMAIL]" in clean and "[TERM]" in clean and "physicist" not in clean
     assert "TERM" not in privacy.sanitise(texts[0], got[0].spans, remove_terms=True)
@@ -174,11 +180,18 @@ def test_disclosing_terms_equal_brute_force(spark):
 def _told(spark, beside):
     """The terms told in three texts with `beside`, an address and a common word, among nine others."""
     letters = "abcdefghijkl"
-    texts = [f"of {letters[k] * 5} {beside} of {letters[k] * 6}" if k < 3 else f"of {letters[k] * 5}" for k in range(12)]
+    texts = [f"of {letters[k] * 5} {beside} of {letters[k] * 6}" if k < 3 else f"of {letters[k % 12] * 7}" for k in range(60)]
     rows = privacy.find(documents(spark, *texts)).orderBy("doc_id").collect()
     return [[texts[r.doc_id][int(a) : int(b)] for k, a, b in (x.split(":") for x in r.spans.split(",") if x) if k == "term"] for r in rows[:3]]
 
 
+def test_rare_entities_are_judged(spark):
+    """Of 2000 documents one holds the address: a name of its own beside it is told, one that two other documents hold isn't."""
+    texts = ["plain words of all", "more words of all"] * 999 + ["Ada of Byron jdoe@lab.org words", "of Byron words", "Byron words"]
+    r = privacy.find(documents(spark, *texts)).where("spans <> ''").collect()
+    assert [(x.doc_id, x.spans) for x in r] == [(1998, "email:13:25,term:0:3")]
+
+
 def test_short_terms_disclose(spark):
     assert _told(spark, "Kim jdoe@lab.org \u738b") == [["Kim", "\u738b"]] * 3
 
@@ -226,15 +239,15 @@ def test_score_is_the_difference_of_log_densities():
 
 
 def test_weights_come_from_labels_that_are_not_held_out(spark, monkeypatch):
-    """The chosen weights equal a brute-force cross-validation, and other held-out labels change nothing."""
+    """The chosen statistics and weights equal a brute-force cross-validation, and other held-out labels change nothing."""
     rng = random.Random(3)
     n = 240
     texts = [" ".join(rng.choice(["word", "Text", "a", "12", "!!", "x."] if k % 2 else ["some", "plain", "words", "here", "12"]) for _ in range(rng.randint(1, 40))) for k in range(n)]
     docs = documents(spark, *texts)
     flip = [(k, int(rng.random() < 0.85) ^ (k % 2), 0) for k in range(n)]
     seen = []
-    choose = quality.choose_weights
-    monkeypatch.setattr(quality, "choose_weights", lambda *a: seen.append(choose(*a)) or seen[-1])
+    choose = quality.choose
+    monkeypatch.setattr(quality, "choose", lambda *a: seen.append(choose(*a)) or seen[-1])
     labels = spark.createDataFrame(flip, "doc_id long, quality int, toxic int")
     scores = sorted((r.doc_id, round(r.score, 9)) for r in quality.score(docs, labels).collect())
     other = [(k, 1 - q if zlib.crc32(str(k).encode()) % 4 == 2 else q, t) for k, q, t in flip]
@@ -244,17 +257,30 @@ def test_weights_come_from_labels_that_are_not_held_out(spark, monkeypatch):
     data = [t.encode() for t in texts]
     x = quality.features(np.frombuffer(b"".join(data), dtype=np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in data])]))
     best = []
-    for weights in quality.GRID:
+    for choice in quality.CHOICES:
         loss = 0.0
         for fold in range(quality.FOLDS):
             moments = {c: x[[k for k, q in learn if q == c and folds[k] != fold]] for c in (0, 1)}
-            model = quality.fit_moments({c: (len(v), v.sum(0), v.T @ v) for c, v in moments.items()}, *weights)
+            model = quality.fit_moments({c: (len(v), v.sum(0), v.T @ v) for c, v in moments.items()}, *choice)
             for k, q in learn:
                 if folds[k] == fold:
                     p = float(model.scores(x[k : k + 1])[0])
                     loss -= math.log(max(p if q else 1 - p, 1e-300))
         best.append(loss)
-    assert seen == [quality.GRID[int(np.argmin(best))]] * 2
+    assert seen == [quality.CHOICES[int(np.argmin(best))]] * 2 and len(quality.CHOICES) == len(quality.GRID) * len(quality.FEATURES)
+
+
+def test_features_are_ranked_by_how_far_the_classes_lie_apart():
+    rng = np.random.default_rng(2)
+    a, b = (rng.normal(size=(400, len(quality.FEATURES))) for _ in range(2))
+    b[:, 4] += 3
+    b[:, 7] *= 4
+    moments = {0: (400, a.sum(0), a.T @ a), 1: (400, b.sum(0), b.T @ b)}
+    assert set(quality.ranked(moments)[:2].tolist()) == {4, 7}
+    assert quality.fit_moments(moments, 0.2, 0.1, 2).use.tolist() == [4, 7]
+    one = quality.features(np.frombuffer("aaa é b b".encode(), dtype=np.uint8), np.array([0, 10]))[0]
+    named = dict(zip(quality.FEATURES, one))
+    assert np.isclose(named["longest"], np.log1p(3)) and np.isclose(np.sin(named["commonest"]) ** 2, 0.5) and np.isclose(np.sin(named["beyond_ascii"]) ** 2, 1 / 9)
 
 
 def test_quality_edges(spark):
@@ -386,6 +412,16 @@ def test_packing_round_trip(spark, sf_dir):
     assert packing.pack(df.where("false"), how).count() == 0
 
 
+def test_packed_rows_written_and_read(spark, tmp_path):
+    df, how = documents(spark, "one two three", None, "x " * 300, "four"), packing.Packing(length=64)
+    packing.write_packed(df, f"{tmp_path}/packed", how)
+    back = spark.read.parquet(f"{tmp_path}/packed")
+    key = lambda r: (r.pack, r.row)
+    assert sorted(back.collect(), key=key) == sorted(packing.pack(df, how).collect(), key=key)
+    pack = back.first().pack
+    assert packing.matrix(back.where(back.pack == pack).collect(), 64, "positions").shape[1] == 64
+
+
 def test_best_fit_equals_brute_force():
     rng = random.Random(1)
     for _ in range(300):
