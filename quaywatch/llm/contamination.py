@@ -8,25 +8,31 @@ sketch - floor((1-t) q) sketch hashes; that count makes a candidate, and none
 is missed at any document length. Candidates are verified by exact shingle
 containment |item in document| / |item|.
 
-The item index is sent to all tasks in blocks of at most `block` shingles; each
-block scans the documents once, so memory doesn't grow with the benchmark.
+The item index is sent to all tasks in blocks of at most `block` shingles. Each
+block scans the documents once, its hits are written, and it goes before the
+next comes, so memory doesn't grow with the benchmark. `remove` filters texts as it reads them
+where one block holds all items; with more it gathers the hits' digests and leaves those texts out by one join.
 
 An item or text with fewer than five words is one shingle, its whole sequence;
 without words, or null, it matches nothing. So an item of one to four words
 matches only whole texts; inside a longer document it isn't found. Repeated rows of either side count
-each; null ids stay null. Texts are read whole.
+each; null ids stay null; ids are integers. Texts are read whole.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quaywatch.llm import words
+from quaywatch.llm.tables import written
 
 THRESHOLD = (4, 5)
 BLOCK = 2_000_000
@@ -101,36 +107,62 @@ def _blocks(benchmark: DataFrame, id_column: str, text_column: str, block: int)
         yield Index(ids, sets)
 
 
+def _hits(docs: DataFrame, sent: Broadcast, schema: str, told: Callable[[pa.RecordBatch, list, Index], list[pa.Array]]) -> DataFrame:
+    """What `told` makes of each piece of texts with hits (row, item, shared) in one block."""
+    names = T.StructType.fromDDL(schema).names
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece, data, offsets in words.chunks(batch):
+                found, rows, _ = words.shingles(data, offsets)
+                hits = list(sent.value.search(found, rows))
+                if hits:
+                    yield pa.RecordBatch.from_arrays(told(piece, hits, sent.value), names)
+
+    return docs.mapInArrow(each, schema)
+
+
+def _by_block(docs: DataFrame, first: Index, others: Iterator[Index], schema: str, told: Callable[[pa.RecordBatch, list, Index], list[pa.Array]]) -> DataFrame:
+    """The hits of all blocks; those of one are written before the next is sent."""
+    context, second = docs.sparkSession.sparkContext, next(others, None)
+    if second is None:
+        return _hits(docs, context.broadcast(first), schema, told)
+    out = None
+    for index in chain((first, second), others):
+        sent = context.broadcast(index)
+        part = written(_hits(docs, sent, schema, told), "hits")
+        sent.destroy()
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def find(documents: DataFrame, benchmark: DataFrame, block: int = BLOCK, id_column: str = "doc_id", text_column: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """(doc_id, item_id, shared, item_size) of each document and item it contains."""
-    docs = documents.select(documents[id_column].alias("doc_id"), documents[text_column].alias("text"))
+    docs = documents.select(documents[id_column].cast("long").alias("doc_id"), documents[text_column].alias("text"))
     schema = "doc_id long, item_id long, shared long, item_size long"
-    out = None
-    for index in _blocks(benchmark, item_id, item_text, block):
-        sent = documents.sparkSession.sparkContext.broadcast(index)
+    blocks = _blocks(benchmark, item_id, item_text, block)
+    first = next(blocks, None)
+    if first is None:
+        return documents.sparkSession.createDataFrame([], schema)
 
-        def each(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for piece, data, offsets in words.chunks(batch):
-                    found, rows, _ = words.shingles(data, offsets)
-                    hits = list(sent.value.search(found, rows))
-                    if hits:
-                        take = pa.array([r for r, _, _ in hits], pa.int64())
-                        cols = [piece.column("doc_id").cast(pa.int64()).take(take), *(pa.array(c, pa.int64()) for c in ([sent.value.ids[i] for _, i, _ in hits], [s for _, _, s in hits], [len(sent.value.sets[i]) for _, i, _ in hits]))]
-                        yield pa.RecordBatch.from_arrays(cols, ["doc_id", "item_id", "shared", "item_size"])
+    def told(piece: pa.RecordBatch, hits: list, index: Index) -> list[pa.Array]:
+        take = pa.array([r for r, _, _ in hits], pa.int64())
+        return [piece.column("doc_id").take(take), *(pa.array(c, pa.int64()) for c in ([index.ids[i] for _, i, _ in hits], [s for _, _, s in hits], [len(index.sets[i]) for _, i, _ in hits]))]
 
-        part = docs.mapInArrow(each, schema)
-        out = part if out is None else out.unionByName(part)
-    return documents.sparkSession.createDataFrame([], schema) if out is None else out
+    return _by_block(docs, first, blocks, schema, told)
 
 
 def remove(documents: DataFrame, benchmark: DataFrame, block: int = BLOCK, text_column: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
-    """The documents, all their columns, that contain no item; no shuffle."""
-    out = documents
-    for index in _blocks(benchmark, item_id, item_text, block):
-        sent = documents.sparkSession.sparkContext.broadcast(index)
-
-        def each(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+    """The documents, all their columns, that contain no item; no shuffle where one block holds all items."""
+    blocks = _blocks(benchmark, item_id, item_text, block)
+    first = next(blocks, None)
+    if first is None:
+        return documents
+    second = next(blocks, None)
+    if second is None:
+        sent = documents.sparkSession.sparkContext.broadcast(first)
+
+        def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for piece, data, offsets in words.chunks(batch, text_column):
                     found, rows, _ = words.shingles(data, offsets)
@@ -138,5 +170,11 @@ def remove(documents: DataFrame, benchmark: DataFrame, block: int = BLOCK, text_
                     clean[[r for r, _, _ in sent.value.search(found, rows)]] = False
                     yield piece.filter(pa.array(clean))
 
-        out = out.mapInArrow(each, documents.schema)
-    return out
+        return documents.mapInArrow(each, documents.schema)
+    # Whether a text holds an item depends on the text alone.
+    digest = F.sha2(F.col(f"`{text_column}`"), 256)
+    docs = documents.select(digest.alias("key"), F.col(f"`{text_column}`").alias("text"))
+    keys = _by_block(docs, first, chain((second,), blocks), "key string", lambda piece, hits, _: [piece.column("key").take(pa.array(sorted({r for r, _, _ in hits}), pa.int64()))]).distinct()
+    whole = documents.select(F.struct(*(F.col(f"`{c}`") for c in documents.columns)).alias("_whole"), digest.alias("_digest"))
+    kept = whole.join(keys, F.col("_digest") == F.col("key"), "left_anti")
+    return kept.select(*(F.col("_whole")[c].alias(c) for c in documents.columns))
