@@ -15,7 +15,7 @@ total is off its target by half of the smallest document left, at most.
 The draws are dealt over output shards by a splitting tree: a node's draws are
 halved by a uniformly random subset of exactly half of them, so the sources'
 counts in each half are multivariate hypergeometric, and so on down to the
-shards. That fixes each shard's quota of blocks of each source. The shards then
+shards. Draws are counted by ranges of chance, and none but those of a range meet. That fixes each shard's quota of blocks of each source. The shards then
 take disjoint runs of the source's permuted draws, and rows are shuffled within
 a shard by `order_key`. Hashes with a seed stand for chance: reruns agree.
 
@@ -172,11 +172,25 @@ def taken_in_rest() -> Column:
     return taken_in_rounds() | F.coalesce(extra, F.lit(False))
 
 
+def _halved(units: DataFrame, bins: int = 10) -> DataFrame:
+    """Each node's units in two nodes, the lesser half by `_chance` in the first; an odd one goes with the node's parity.
+
+    Units are counted in 2^bins ranges of chance, and ranked inside a range, so no task has a node's units.
+    """
+    units = units.withColumn("_bin", F.shiftright("_chance", 64 - bins))
+    counts = units.groupBy("node", "_bin").agg(F.count("*").alias("_in"))
+    upto, node = Window.partitionBy("node").orderBy("_bin"), Window.partitionBy("node")
+    counts = counts.withColumns({"_before": F.sum("_in").over(upto) - F.col("_in"), "_all": F.sum("_in").over(node)}).drop("_in")
+    ranked = Window.partitionBy("node", "_bin").orderBy("_chance", "source_key", "block", "pass")
+    units = units.join(counts, ["node", "_bin"]).withColumn("_rank", F.row_number().over(ranked) + F.col("_before"))
+    goes_left = F.col("_rank") * 2 <= F.col("_all") + F.pmod(F.col("node"), F.lit(2))
+    return units.withColumn("node", F.col("node") * 2 + F.when(goes_left, 0).otherwise(1)).drop("_chance", "_bin", "_before", "_all", "_rank")
+
+
 def _dealt(rows: DataFrame, each: DataFrame, how: Mix) -> DataFrame:
     """(source_key, block, shards): the shard of each draw of the block, the rest's draw last.
 
-    A unit is one draw of a block. The tree halves the units of each node; the
-    root's window has the units of all sources, whose number `blocks` bounds.
+    A unit is one draw of a block. The tree halves the units of each node.
     """
     drawn = rows.join(each.select("source_key", "passes", "rounds", "extra"), "source_key").groupBy("source_key", "block").agg(F.first("passes").alias("passes"), F.max(taken_in_rest()).alias("rest"))
     # After the full passes, one more draw of each block that the rest takes anything of.
@@ -184,10 +198,7 @@ def _dealt(rows: DataFrame, each: DataFrame, how: Mix) -> DataFrame:
     units = drawn.withColumn("_n", n).where("_n > 0").select("source_key", "block", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)).alias("pass"))
     quota = units.withColumn("node", F.lit(0))
     for level in range(how.levels):
-        by_chance = Window.partitionBy("node").orderBy(F.xxhash64(F.lit(how.seed + 2 + level), "source_key", "block", "pass"), "source_key", "block", "pass")
-        in_node = Window.partitionBy("node")
-        goes_left = F.row_number().over(by_chance) * 2 <= F.count("*").over(in_node) + F.pmod(F.col("node"), F.lit(2))
-        quota = quota.withColumn("_left", goes_left).withColumn("node", F.col("node") * 2 + F.when(F.col("_left"), 0).otherwise(1)).drop("_left")
+        quota = _halved(quota.withColumn("_chance", F.xxhash64(F.lit(how.seed + 2 + level), "source_key", "block", "pass")))
     # Quotas of each shard and source; the shards then take runs of the source's permuted draws.
     quota = quota.groupBy("node", "source_key").agg(F.count("*").alias("quota"))
     runs = Window.partitionBy("source_key").orderBy("node")
@@ -221,10 +232,7 @@ def decide(documents: DataFrame, how: Mix = Mix(), id_column: str = "doc_id", te
 
 
 def mix(documents: DataFrame, how: Mix = Mix(), id_column: str = "doc_id", text_column: str = "text", source_column: str = "source", place: bool = True) -> DataFrame:
-    """The documents, all their columns, once for each time they are taken; `place` adds mix_shard and order_key.
-
-    To write shards, repartition by mix_shard and sort within by order_key.
-    """
+    """The documents, all their columns, once for each time they are taken; `place` adds mix_shard and order_key, by which `write_mixed` shuffles within a shard."""
     sized = written(_sized(documents, id_column, text_column, source_column), "mix-sizes")
     each, dealt, repeated = plan(sized, how)
     names = documents.columns
@@ -234,3 +242,9 @@ def mix(documents: DataFrame, how: Mix = Mix(), id_column: str = "doc_id", text_
     if place:
         columns += ["mix_shard", F.xxhash64(F.lit(how.seed + 7), F.col("mix_shard"), F.col("_whole")[id_column], F.col("_time")).alias("order_key")]
     return taken.select(*columns)
+
+
+def write_mixed(documents: DataFrame, path: str, how: Mix = Mix(), **names: str) -> None:
+    """The mix as Parquet files, a folder mix_shard=k for each shard, its rows in the order of order_key."""
+    mixed = mix(documents, how, **names)
+    mixed.repartition("mix_shard").sortWithinPartitions("mix_shard", "order_key").write.partitionBy("mix_shard").parquet(path)

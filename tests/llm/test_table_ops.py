@@ -276,6 +276,31 @@ def test_shards_take_even_and_disjoint_shares(spark):
     assert len(rows) == 16 and max(r.n for r in rows) <= 1.5 * min(r.n for r in rows) and all(r.sources >= 3 for r in rows)
 
 
+def test_halves_are_exact_and_even_by_chance(spark):
+    """Each node's units part into halves, whatever their number, and each source's share follows the hypergeometric law."""
+    units = spark.range(1001).select((F.col("id") % 7 == 0).cast("string").alias("source_key"), F.col("id").alias("block"), F.lit(0).alias("pass"), (F.col("id") % 3).cast("int").alias("node"))
+    out = mixing._halved(units.withColumn("_chance", F.xxhash64("block")), bins=3)
+    counts = {r.node: r["count"] for r in out.groupBy("node").count().collect()}
+    assert sorted(out.columns) == sorted(units.columns) and sum(counts.values()) == 1001
+    for node in range(3):
+        n = counts[2 * node] + counts[2 * node + 1]
+        assert counts[2 * node] == (n + node % 2) // 2
+    order = {r.block: r.h for r in units.select("block", F.xxhash64("block").alias("h")).collect()}
+    for node in range(3):  # the lesser half by chance is in the first node
+        rows = out.where(F.col("node").isin(2 * node, 2 * node + 1)).collect()
+        assert max(order[r.block] for r in rows if r.node == 2 * node) < min(order[r.block] for r in rows if r.node == 2 * node + 1)
+
+
+def test_mixed_shards_are_written_in_their_order(spark, tmp_path):
+    df = documents(spark, *[f"w {k}" for k in range(90)])
+    how = mixing.Mix(rows=4, levels=2)
+    mixing.write_mixed(df, f"{tmp_path}/mixed", how)
+    want = {(r.mix_shard, r.order_key, r.doc_id) for r in mixing.mix(df, how).collect()}
+    for shard in {s for s, _, _ in want}:
+        rows = [(shard, r.order_key, r.doc_id) for r in spark.read.parquet(f"{tmp_path}/mixed/mix_shard={shard}").coalesce(1).collect()]
+        assert rows == sorted(w for w in want if w[0] == shard)
+
+
 def test_mix_is_native(spark, sf_dir):
     plan = registry.op4_mixing(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
