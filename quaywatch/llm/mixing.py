@@ -172,33 +172,39 @@ def taken_in_rest() -> Column:
     return taken_in_rounds() | F.coalesce(extra, F.lit(False))
 
 
-def _halved(units: DataFrame, bins: int = 10) -> DataFrame:
-    """Each node's units in two nodes, the lesser half by `_chance` in the first; an odd one goes with the node's parity.
-
-    Units are counted in 2^bins ranges of chance, and ranked inside a range, so no task has a node's units.
+def _shards(units: DataFrame, levels: int, bins: int = 10) -> DataFrame:
+    """The units with `node`, the shard that the tree of halvings leads them to.
+
+    One order by `_chance` serves all levels: a uniformly random order of a
+    node's units leaves those of each half in one, independent of the halving. A
+    node of n units gives its first (n + parity) div 2 to its first half. Units
+    are counted in 2^bins ranges of chance, and ranked inside a range, so no
+    task has all of them; the window over ranges has 2^bins rows.
     """
     units = units.withColumn("_bin", F.shiftright("_chance", 64 - bins))
-    counts = units.groupBy("node", "_bin").agg(F.count("*").alias("_in"))
-    upto, node = Window.partitionBy("node").orderBy("_bin"), Window.partitionBy("node")
-    counts = counts.withColumns({"_before": F.sum("_in").over(upto) - F.col("_in"), "_all": F.sum("_in").over(node)}).drop("_in")
-    ranked = Window.partitionBy("node", "_bin").orderBy("_chance", "source_key", "block", "pass")
-    units = units.join(counts, ["node", "_bin"]).withColumn("_rank", F.row_number().over(ranked) + F.col("_before"))
-    goes_left = F.col("_rank") * 2 <= F.col("_all") + F.pmod(F.col("node"), F.lit(2))
-    return units.withColumn("node", F.col("node") * 2 + F.when(goes_left, 0).otherwise(1)).drop("_chance", "_bin", "_before", "_all", "_rank")
+    counts = units.groupBy("_bin").agg(F.count("*").alias("_in"))
+    whole = Window.orderBy("_bin")
+    counts = counts.select("_bin", (F.sum("_in").over(whole) - F.col("_in")).alias("_before"), F.sum("_in").over(Window.partitionBy()).alias("_n"))
+    ranked = Window.partitionBy("_bin").orderBy("_chance", "source_key", "block", "pass")
+    out = units.join(counts, "_bin").withColumn("_at", F.row_number().over(ranked) + F.col("_before")).withColumn("node", F.lit(0))
+    for _ in range(levels):
+        half = F.floor((F.col("_n") + F.col("node") % 2) / 2)
+        left = F.col("_at") <= half
+        out = out.withColumns({"node": F.col("node") * 2 + F.when(left, 0).otherwise(1), "_n": F.when(left, half).otherwise(F.col("_n") - half), "_at": F.when(left, F.col("_at")).otherwise(F.col("_at") - half)})
+    return out.drop("_chance", "_bin", "_before", "_n", "_at")
 
 
 def _dealt(rows: DataFrame, each: DataFrame, how: Mix) -> DataFrame:
     """(source_key, block, shards): the shard of each draw of the block, the rest's draw last.
 
-    A unit is one draw of a block. The tree halves the units of each node.
+    A unit is one draw of a block.
     """
     drawn = rows.join(each.select("source_key", "passes", "rounds", "extra"), "source_key").groupBy("source_key", "block").agg(F.first("passes").alias("passes"), F.max(taken_in_rest()).alias("rest"))
     # After the full passes, one more draw of each block that the rest takes anything of.
     n = F.col("passes") + F.col("rest").cast("int")
     units = drawn.withColumn("_n", n).where("_n > 0").select("source_key", "block", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)).alias("pass"))
-    quota = units.withColumn("node", F.lit(0))
-    for level in range(how.levels):
-        quota = _halved(quota.withColumn("_chance", F.xxhash64(F.lit(how.seed + 2 + level), "source_key", "block", "pass")))
+    units = written(units, "mix-drawn")
+    quota = _shards(units.withColumn("_chance", F.xxhash64(F.lit(how.seed + 2), "source_key", "block", "pass")), how.levels)
     # Quotas of each shard and source; the shards then take runs of the source's permuted draws.
     quota = quota.groupBy("node", "source_key").agg(F.count("*").alias("quota"))
     runs = Window.partitionBy("source_key").orderBy("node")

@@ -276,19 +276,19 @@ def test_shards_take_even_and_disjoint_shares(spark):
     assert len(rows) == 16 and max(r.n for r in rows) <= 1.5 * min(r.n for r in rows) and all(r.sources >= 3 for r in rows)
 
 
-def test_halves_are_exact_and_even_by_chance(spark):
-    """Each node's units part into halves, whatever their number, and each source's share follows the hypergeometric law."""
-    units = spark.range(1001).select((F.col("id") % 7 == 0).cast("string").alias("source_key"), F.col("id").alias("block"), F.lit(0).alias("pass"), (F.col("id") % 3).cast("int").alias("node"))
-    out = mixing._halved(units.withColumn("_chance", F.xxhash64("block")), bins=3)
-    counts = {r.node: r["count"] for r in out.groupBy("node").count().collect()}
-    assert sorted(out.columns) == sorted(units.columns) and sum(counts.values()) == 1001
-    for node in range(3):
-        n = counts[2 * node] + counts[2 * node + 1]
-        assert counts[2 * node] == (n + node % 2) // 2
-    order = {r.block: r.h for r in units.select("block", F.xxhash64("block").alias("h")).collect()}
-    for node in range(3):  # the lesser half by chance is in the first node
-        rows = out.where(F.col("node").isin(2 * node, 2 * node + 1)).collect()
-        assert max(order[r.block] for r in rows if r.node == 2 * node) < min(order[r.block] for r in rows if r.node == 2 * node + 1)
+@pytest.mark.parametrize("n", [0, 1, 5, 1001])
+def test_the_tree_halves_exactly_and_by_chance(spark, n):
+    """Each node's units, in the order of chance, part into halves, whatever their number."""
+    units = spark.range(n).select((F.col("id") % 7 == 0).cast("string").alias("source_key"), F.col("id").alias("block"), F.lit(0).alias("pass"), F.xxhash64("id").alias("_chance"))
+    got = {r.block: r.node for r in mixing._shards(units, levels=3, bins=4).collect()}
+
+    def halved(blocks, node, level):
+        if level == 3:
+            return {b: node for b in blocks}
+        half = (len(blocks) + node % 2) // 2
+        return halved(blocks[:half], 2 * node, level + 1) | halved(blocks[half:], 2 * node + 1, level + 1)
+
+    assert got == halved([r.block for r in sorted(units.collect(), key=lambda r: r["_chance"])], 0, 0)
 
 
 def test_mixed_shards_are_written_in_their_order(spark, tmp_path):
