@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from quaywatch.operators import sinks, staging
@@ -19,9 +21,9 @@ def land(raw: dict[str, DataFrame], bronze: str) -> dict[str, int]:
     return {topic: sinks.overwrite(plan[topic][0](df), f"{bronze}/{topic}", plan[topic][1]) for topic, df in raw.items()}
 
 
-def build(player: DataFrame, markers: DataFrame, content: DataFrame, ads: DataFrame) -> dict[str, DataFrame]:
-    """The four marts; the first is cached, since three readers follow."""
-    qoe = marts.session_window_qoe(staging.player_events(player), staging.latest_content(content)).persist()
+def build(player: DataFrame, markers: DataFrame, content: DataFrame, ads: DataFrame, keep: Callable[[DataFrame], DataFrame] = DataFrame.persist) -> dict[str, DataFrame]:
+    """The four marts; the first is kept, by caching or as `keep` does, since three readers follow."""
+    qoe = keep(marts.session_window_qoe(staging.player_events(player), staging.latest_content(content)))
     return {"session_window_qoe": qoe, "ccv": marts.ccv(qoe), "ad_impact": marts.ad_impact(markers, qoe, ads), "ad_creatives": marts.ad_creatives(markers, ads)}
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quaywatch import flows
-from quaywatch.operators import intervals, staging
+from quaywatch.operators import intervals, scratch, staging
 from quaywatch.plans import alerts, batch, checks, marts, serving, speed
 from quaywatch.sources import fixtures
 
@@ -126,8 +126,15 @@ def ad_creatives_panel(spark: SparkSession, d: str) -> DataFrame:
     return serving.ad_creatives(ad_creatives(spark, d))
 
 
+def _once(df: DataFrame) -> DataFrame:
+    """The rows as a table in the shared folder, for a query that reads them several times; nothing stays in the session's cache."""
+    path = scratch.folder(df.sparkSession, "once")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cdn_health(spark: SparkSession, d: str) -> DataFrame:
-    windows = _speed(spark, d).persist()
+    windows = _once(_speed(spark, d))
     return serving.cdn_health(windows, alerts.transitions(windows))
 
 
@@ -137,7 +144,7 @@ def gold_checksum(spark: SparkSession, d: str) -> DataFrame:
 
 def _marts(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     """All marts; the first, from which others follow, is built once."""
-    return batch.build(fixtures.player(spark, d), fixtures.markers(spark, d), fixtures.content(spark, d), fixtures.ads(spark, d))
+    return batch.build(fixtures.player(spark, d), fixtures.markers(spark, d), fixtures.content(spark, d), fixtures.ads(spark, d), _once)
 
 
 def mart_row_counts(spark: SparkSession, d: str) -> DataFrame:
@@ -173,7 +180,7 @@ def error_burn(spark: SparkSession, d: str) -> DataFrame:
 
 
 def silver_gold_divergence(spark: SparkSession, d: str) -> DataFrame:
-    events = staged(spark, d).persist()
+    events = _once(staged(spark, d))
     return checks.divergence(speed.windows(events), marts.session_window_qoe(events, staging.latest_content(fixtures.content(spark, d))))
 
 
