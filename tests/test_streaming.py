@@ -1,4 +1,4 @@
-"""The stream against the batch, on files."""
+"""Streams over files, beyond what `flows` holds against SQL: windows, markers, upserts and alerts."""
 
 import json
 import os
@@ -7,10 +7,6 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from quaywatch import queries
-from quaywatch.operators import staging
-from quaywatch.plans import alerts, speed
-from quaywatch.sources import fixtures
 from quaywatch.streaming import replay, state, windows
 
 COLUMNS = ["event_id", "session_id", "event_time", "event_type", "cdn", "bitrate_kbps", "device_type", "geo_region"]
@@ -39,21 +35,6 @@ def drain(df, name, tmp_path, mode="append"):
     return df.sparkSession.table(name), q
 
 
-def test_windows_and_alerts_equal_the_batch(spark, tmp_path, sf_dir):
-    state.use_rocksdb(spark)
-    landed = fixtures.player(spark, sf_dir)
-    got, _ = drain(windows.windows(stream(spark, tmp_path, landed), delay="40 seconds"), "speed_windows", tmp_path)
-    names = [c for c in speed.windows(queries.staged(spark, sf_dir)).columns]
-    want = speed.windows(staging.dedupe_events(landed)).select(*names)
-    assert sorted(map(str, got.where("session_id <> 'end'").select(*names).collect())) == sorted(map(str, want.collect()))
-    moved, _ = drain(state.alert_stream(windows.windows(spark.readStream.schema(_schema(landed)).option("maxFilesPerTrigger", 1).json(str(tmp_path / "in")), delay="40 seconds")), "speed_alerts", tmp_path)
-    assert sorted(map(tuple, moved.where("cdn <> 'unknown'").collect())) == sorted(map(tuple, alerts.transitions(want).collect()))
-
-
-def _schema(df):
-    return df.select(*(F.col(c).cast("timestamp").alias(c) if c == "event_time" else F.col(c) for c in COLUMNS)).schema
-
-
 def test_late_rows_are_dropped_and_counted(spark, tmp_path):
     start = datetime(2026, 1, 1)
     rows = [(f"e{k}", "s", start + timedelta(seconds=t), "heartbeat", "cdn-a", 1, "tv", "SE", start + timedelta(seconds=k)) for k, t in enumerate([0, 10, 200, 300, 5])]
@@ -79,16 +60,6 @@ def test_bounded_dedupe(spark, tmp_path):
     assert sorted(r.event_id for r in got.where("session_id = 's'").collect()) == ["a", "a", "b", "c"]
 
 
-def test_table_with_markers_read_anew(spark, tmp_path, sf_dir):
-    landed = fixtures.player(spark, sf_dir)
-    rows = windows.windows(stream(spark, tmp_path, landed), delay="40 seconds")
-    q = windows.to_table(rows, str(tmp_path / "silver"), str(tmp_path / "cp"), markers=lambda: fixtures.markers(spark, sf_dir))
-    assert q.awaitTermination(240)
-    got = {(r.session_id, r.window_start): r.marker_id for r in spark.read.parquet(str(tmp_path / "silver")).where("session_id <> 'end'").collect()}
-    want = {(r.session_id, r.window_start): r.marker_id for r in queries.silver_marker_enrich(spark, sf_dir).collect()}
-    assert got == want
-
-
 def test_replay_is_paced_without_drift(spark, tmp_path):
     df = spark.createDataFrame([(datetime(2026, 1, 1, 0, 0, s), "t", "k", json.dumps({"s": s})) for s in (0, 1, 12, 25)], "at timestamp, topic string, key string, value string")
     now, naps = [0.0], []
