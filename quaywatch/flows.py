@@ -314,10 +314,11 @@ def stream_alerts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def stream_bounded_dedupe(spark: SparkSession, d: str) -> DataFrame:
-    """First copies within three minutes, by session."""
-    events = windows.decoded(_stream(spark, d)).select("event_id", "session_id", "event_time")
+    """First copies within three minutes, by session, in the order of the lines in the files."""
+    lines = landing.stream_jsonl(spark, _arrivals(spark, d), contracts.PLAYER_V2, files_per_trigger=1, arrival=True)
+    events = windows.decoded(lines).select("event_id", "session_id", "event_time", *landing.ARRIVAL)
     with state.rocksdb(spark):
-        kept = _drained(state.bounded_dedupe(events), "bounded")
+        kept = _drained(state.bounded_dedupe(events, arrival=landing.ARRIVAL), "bounded")
     return kept.where("session_id <> 'end'").groupBy("session_id").agg(F.count("*").alias("events"), F.count_distinct("event_id").alias("ids"))
 
 

@@ -7,6 +7,9 @@ names; without them, folders of JSON lines and Parquet stand in.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,6 +18,7 @@ from quaywatch.sources import contracts
 
 HOUR = "yyyy-MM-dd'T'HH"
 META = ("_ingested_at", "_kafka_partition", "_kafka_offset")
+ARRIVAL = ("file_time", "file_path", "file_block", "file_line")
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType, strict: bool = True) -> DataFrame:
@@ -29,13 +33,30 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType, strict: boo
     return spark.read.schema(loose).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").json(path).where("_corrupt is null").drop("_corrupt")
 
 
-def stream_jsonl(spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int | None = None) -> DataFrame:
-    """A folder of JSON lines as a stream; malformed lines are dropped."""
+@F.pandas_udf(T.LongType())
+def _counted(rows: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    n = 0
+    for part in rows:
+        yield pd.Series(range(n, n + len(part)), dtype="int64")
+        n += len(part)
+
+
+def stream_jsonl(spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int | None = None, arrival: bool = False) -> DataFrame:
+    """A folder of JSON lines as a stream; malformed lines are dropped.
+
+    arrival: with ARRIVAL, which orders lines as they lie in their files, older
+    files first. Tasks read a large file in blocks, so rows that went through a
+    shuffle have that order no more. `file_line` counts within a task.
+    """
     loose = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
     reader = spark.readStream.schema(loose).option("columnNameOfCorruptRecord", "_corrupt")
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.json(path).where("_corrupt is null").drop("_corrupt")
+    rows = reader.json(path)
+    if arrival:
+        rows = rows.select("*", F.unix_micros("_metadata.file_modification_time").alias("file_time"), F.col("_metadata.file_path"), F.col("_metadata.file_block_start").alias("file_block"))
+        rows = rows.withColumn("file_line", _counted.asNondeterministic()("file_block"))
+    return rows.where("_corrupt is null").drop("_corrupt")
 
 
 def decode(raw: DataFrame, schema: T.StructType, strict: bool) -> DataFrame:

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import heapq
 import json
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 import pandas as pd
@@ -58,9 +58,28 @@ class Horizon:
         return False
 
 
-def bounded_dedupe(events: DataFrame, horizon_s: float = 180) -> DataFrame:
-    """First copies only, by session, with the horizon of `Horizon`; arrival order decides within a batch as read."""
-    schema = events.schema
+def _ordered(rows: Iterator[pd.DataFrame], by: Sequence[str]) -> Iterator[pd.DataFrame]:
+    """The rows in order of the columns, which takes all of them at once; without columns as they come."""
+    if not by:
+        yield from rows
+        return
+    pdf = pd.concat(list(rows), ignore_index=True)
+    at = list(zip(*(pdf[c] for c in by)))
+    yield pdf.iloc[sorted(range(len(at)), key=at.__getitem__)]
+
+
+def bounded_dedupe(events: DataFrame, horizon_s: float = 180, arrival: Sequence[str] = ()) -> DataFrame:
+    """First copies only, by session, with the horizon of `Horizon`.
+
+    arrival: columns without nulls that order a session's rows within a batch,
+    such as `landing.ARRIVAL` or a broker's partition and offset; they aren't
+    returned. Without them rows count as they come from the shuffle, which has
+    the order of arrival only where one task reads all that the batch has of
+    a session. A batch's rows of one session are held in memory to sort them.
+    """
+    schema = StructType([f for f in events.schema if f.name not in arrival])
+    order = {c: f"arrival_{k}" for k, c in enumerate(arrival)}  # a name with a leading underscore doesn't get to Python
+    events = events.select(*schema.names, *(F.col(c).alias(o) for c, o in order.items()))
 
     class Dedupe(StatefulProcessor):
         def init(self, handle: StatefulProcessorHandle) -> None:
@@ -68,7 +87,7 @@ def bounded_dedupe(events: DataFrame, horizon_s: float = 180) -> DataFrame:
 
         def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
             held = Horizon(horizon_s, json.loads(self.state.get()[0]) if self.state.exists() else None)
-            for pdf in rows:
+            for pdf in _ordered(rows, list(order.values())):
                 fresh = [not held.is_copy(i, t.timestamp()) for i, t in zip(pdf["event_id"], pdf["event_time"])]
                 yield pdf[fresh][schema.names]
             self.state.update((json.dumps(held.seen),))

@@ -16,11 +16,13 @@ from quaywatch.functions import qoe
 from quaywatch.operators import sinks
 from quaywatch.operators.intervals import active_break
 from quaywatch.plans import speed
+from quaywatch.sources import landing
 
 
 def decoded(raw: DataFrame) -> DataFrame:
-    """Wire records with event_time, device_type and geo_region."""
-    return raw.select("event_id", "session_id", F.to_timestamp("timestamp").alias("event_time"), "event_type", "cdn", "bitrate_kbps", F.col("device.type").alias("device_type"), F.col("geo.region").alias("geo_region"))
+    """Wire records with event_time, device_type and geo_region, and their arrival where the stream has it."""
+    arrival = [c for c in landing.ARRIVAL if c in raw.columns]
+    return raw.select("event_id", "session_id", F.to_timestamp("timestamp").alias("event_time"), "event_type", "cdn", "bitrate_kbps", F.col("device.type").alias("device_type"), F.col("geo.region").alias("geo_region"), *arrival)
 
 
 def windows(events: DataFrame, delay: str = "10 seconds", size_s: int = 60, dedupe: bool = True) -> DataFrame:

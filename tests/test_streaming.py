@@ -7,6 +7,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from quaywatch.sources import contracts, landing
 from quaywatch.streaming import replay, state, windows
 
 COLUMNS = ["event_id", "session_id", "event_time", "event_type", "cdn", "bitrate_kbps", "device_type", "geo_region"]
@@ -60,6 +61,30 @@ def test_bounded_dedupe(spark, tmp_path):
     assert sorted(r.event_id for r in got.where("session_id = 's'").collect()) == ["a", "a", "b", "c"]
 
 
+def test_bounded_dedupe_takes_lines_in_order_of_arrival(spark, tmp_path):
+    """A small file and a later, larger one in one batch: Spark reads the blocks of the larger one first."""
+    folder = tmp_path / "in"
+    folder.mkdir()
+    line = lambda e, t: json.dumps({"event_id": e, "session_id": "s", "timestamp": f"2026-01-01T00:{t // 60:02d}:{t % 60:02d}.000Z", "event_type": "seek", "content_id": "x" * 500}) + "\n"
+    (folder / "b.json").write_text(line("e0", 0))
+    (folder / "a.json").write_text(line("e0", 0) + "".join(line(f"e{t}", t) * 2 for t in range(1, 300)))
+    for k, name in enumerate("ba"):
+        os.utime(folder / f"{name}.json", (1_700_000_000 + k, 1_700_000_000 + k))
+    small = {"spark.sql.files.maxPartitionBytes": "20000", "spark.sql.files.openCostInBytes": "0", "spark.sql.execution.arrow.maxRecordsPerBatch": "7"}
+    before = {k: spark.conf.get(k) for k in small}
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    try:
+        lines = windows.decoded(landing.stream_jsonl(spark, str(folder), contracts.PLAYER_V2, arrival=True)).select("event_id", "session_id", "event_time", *landing.ARRIVAL)
+        with state.rocksdb(spark):
+            got, _ = drain(state.bounded_dedupe(lines, arrival=landing.ARRIVAL), "in_order", tmp_path)
+        assert got.columns == ["event_id", "session_id", "event_time"]
+        assert [r.event_id for r in got.collect()] == [f"e{t}" for t in range(300)]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_replay_is_paced_without_drift(spark, tmp_path):
     df = spark.createDataFrame([(datetime(2026, 1, 1, 0, 0, s), "t", "k", json.dumps({"s": s})) for s in (0, 1, 12, 25)], "at timestamp, topic string, key string, value string")
     now, naps = [0.0], []
